@@ -58,6 +58,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Bound the Arrow batches that Python workers get: texts can be long, and two workers share an executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once per row and use it several times in `body` (a lambda variable is never inlined)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

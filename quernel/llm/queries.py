@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from quernel.llm import quality_rules
+from quernel.llm import decontamination, packing, quality_rules, simhash_neardup
 
 QUERIES = {
+    "op5_decontamination": decontamination.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_simhash_neardup": simhash_neardup.query,
+    "op9_packing": packing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_decontamination": decontamination.ORACLE,
+}
