@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from quernel.llm import decontamination, packing, quality_rules, simhash_neardup
+from quernel.llm import decontamination, license_scan, packing, quality_rules, simhash_neardup, warc
 
 QUERIES = {
+    "op1_license_scan": license_scan.query,
+    "op3_warc": warc.query,
     "op5_decontamination": decontamination.query,
     "op6_quality_rules": quality_rules.query,
     "op7_simhash_neardup": simhash_neardup.query,
@@ -12,5 +14,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
+    "op3_warc": warc.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
 }
