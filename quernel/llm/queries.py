@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quernel.llm import decontamination, license_scan, packing, quality_rules, simhash_neardup, warc
+from quernel.llm import decontamination, license_scan, packing, quality_rules, secret_scan, simhash_neardup, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op3_warc": warc.query,
+    "op4_secret_scan": secret_scan.query,
     "op5_decontamination": decontamination.query,
     "op6_quality_rules": quality_rules.query,
     "op7_simhash_neardup": simhash_neardup.query,
