@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernel.llm import decontamination, license_scan, packing, quality_rules, secret_scan, simhash_neardup, warc
+from quernel.llm import decontamination, language_id, license_scan, lm_scoring, packing, quality_rules, secret_scan, simhash_neardup, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -11,7 +11,9 @@ QUERIES = {
     "op5_decontamination": decontamination.query,
     "op6_quality_rules": quality_rules.query,
     "op7_simhash_neardup": simhash_neardup.query,
+    "op8_language_id": language_id.query,
     "op9_packing": packing.query,
+    "op10_lm_scoring": lm_scoring.query,
 }
 
 ORACLES: dict[str, str] = {
