@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quernel.llm import decontamination, language_id, license_scan, lm_scoring, packing, quality_rules, secret_scan, simhash_neardup, warc
+from quernel.llm import decontamination, html_extraction, language_id, license_scan, lm_scoring, packing, quality_rules, secret_scan, simhash_neardup, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
+    "op2_html_extraction": html_extraction.query,
     "op3_warc": warc.query,
     "op4_secret_scan": secret_scan.query,
     "op5_decontamination": decontamination.query,
