@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from quernel.llm import decontamination, html_extraction, language_id, license_scan, lm_scoring, packing, quality_rules, secret_scan, simhash_neardup, warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_packing": packing.query,
     "op10_lm_scoring": lm_scoring.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
