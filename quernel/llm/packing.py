@@ -14,6 +14,8 @@ inside a text are ordinary text.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,12 +31,37 @@ MOST_TOKENS = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words a worker remembers; beyond that it starts anew, so memory stays bounded.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 #: Longer words are encoded each time.
 CACHED_BYTES = 64
 END = END_ID.to_bytes(4, "little")
 
 
+#: Latin-1 letters, then marks that never join letters in the tokenizer's pieces.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]{0,3})")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes themselves, the others in order from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTE_CHARS = _byte_chars()
+#: Words on which the short way is compared with the tokenizer before it is used.
+PROBES = ("The", "the.", "word", "Kühe,", "éçole", "NIÑO!?", "straße;", "thanedbleouou", "ÀÿÞ...", "a", "Zz:")
+
+
+def plain_word_rule(tokenizer) -> bool:
+    """Whether the tokenizer's merges alone give its ids for plain words (a lower-casing byte-level BPE with word ends)."""
+    for word in PROBES:
+        letters, marks = PLAIN.fullmatch(word).groups()
+        got = [t.id for t in tokenizer.model.tokenize(letters.lower().encode().decode("latin-1").translate(BYTE_CHARS))]
+        if got + tokenizer.encode(marks, add_special_tokens=False).ids != tokenizer.encode(word, add_special_tokens=False).ids:
+            return False
+    return True
+
+
 class WordIds(dict):
     """White-space-separated word (UTF-8) -> its ids as little-endian 32-bit numbers, filled on demand."""
 
@@ -45,8 +72,24 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
 
+        self.model = self.tokenizer.model
+        self.plain = plain_word_rule(self.tokenizer)
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        text = word.decode("utf-8", "replace")
+        parts = PLAIN.fullmatch(text) if self.plain else None
+        if parts:  # letters are one piece and the marks after them another: only the merges are left to do
+            letters, marks = parts.groups()
+            if marks not in self.marks:
+                self.marks[marks] = self.whole(marks)
+            pieces = self.model.tokenize(letters.lower().encode().decode("latin-1").translate(BYTE_CHARS))
+            ids = struct.pack(f"<{len(pieces)}I", *[t.id for t in pieces]) + self.marks[marks]
+        else:
+            ids = self.whole(text)
         if len(word) <= CACHED_BYTES:
             if len(self) >= CACHE_WORDS:
                 self.clear()
