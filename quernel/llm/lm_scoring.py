@@ -199,6 +199,12 @@ class Model:
         self.n_tokens, self.n_distinct, self.vocabulary, self.leaves, self.params = n_tokens, n_distinct, vocabulary, leaves, params
 
 
+def _drawn_documents(rows: DataFrame, share: float, salt: int) -> DataFrame:
+    """A share of the documents, drawn by a hash of id and length: only these need to be encoded."""
+    draw = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.octet_length("text")), F.lit(1 << 24))
+    return rows.where(draw < int(share * (1 << 24)))
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
@@ -220,21 +226,27 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
             break
         least = s["step"]
     chosen = F.lit(False) if least is None else (F.floor(F.log2(F.col("c").cast("double")) * 16) >= least) & (F.octet_length("word") <= WORD_BYTES)
-    frequent = counts.where(chosen).orderBy(F.desc("c"), "word").collect()
-    vocabulary = Vocabulary([bytes(r["word"]) for r in frequent], np.array([r["c"] for r in frequent] + [documents], dtype=np.int64))
+    frequent = counts.where(chosen).select("word", "c").toArrow()
+    found, times = frequent.column("word").to_pylist(), frequent.column("c").to_numpy()
+    order = sorted(range(len(found)), key=lambda i: (-times[i], found[i]))
+    vocabulary = Vocabulary([found[i] for i in order], np.append(times[order], documents).astype(np.int64))
+    del frequent, found
     if not documents:
         return Model(0, 0, vocabulary, None, None), counts
     words_sent = spark.sparkContext.broadcast(vocabulary)
     share = min(1.0, START_WINDOWS / max(1, n_tokens / WINDOW + documents / 2))
+    of_documents = min(1.0, 4 * share)
+    of_windows = share / of_documents
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = words_sent.value
         for b in batches:
-            drawn = [_drawn(_windows(v.encode(_words(t)), v.end), share, 0) for t in b.column(0).to_pylist()]
+            drawn = [_drawn(_windows(v.encode(_words(t)), v.end), of_windows, 0) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(list(np.concatenate([np.empty((0, WINDOW), np.int32), *drawn])), pa.list_(pa.int32()))], names=["ids"])
 
-    got = training.select("text").mapInArrow(sample, "ids array<int>").collect()
-    windows = np.array(sorted(r["ids"] for r in got), dtype=np.int32).reshape(-1, WINDOW)
+    got = _drawn_documents(training, of_documents, 0).select("text").mapInArrow(sample, "ids array<int>").toArrow()
+    windows = got.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int32).reshape(-1, WINDOW)
+    windows = windows[np.lexsort(windows.T[::-1])]
     if not len(windows):
         windows = np.full((1, WINDOW), vocabulary.end, dtype=np.int32)
     leaves = Leaves(vocabulary, windows)
@@ -256,7 +268,7 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
 
 
 def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params, every: int = EVERY) -> gru.Params:
-    """One round over the corpus: each task trains a copy on one window in `every`; the copies' mean, weighted by windows."""
+    """One round over the corpus: each task trains a copy on one window in `every`, namely a 2 / every share of the windows of half its documents; the copies' mean, weighted by windows."""
     names = sorted(params)
     start = np.concatenate([params[k].ravel() for k in names])
     spark = training.sparkSession
@@ -273,7 +285,7 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                drawn = _drawn(_windows(v.encode(_words(t)), v.end), 1 / every, 1)
+                drawn = _drawn(_windows(v.encode(_words(t)), v.end), 2 / every, 1)
                 if len(drawn):
                     held.append(drawn)
                     weight += len(drawn)
@@ -285,7 +297,7 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
             change = (np.concatenate([p[k].ravel() for k in names]) - start) * weight
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(change) + 1), pa.int32()), pa.array(np.append(change, weight).astype(np.float64))], names=["i", "x"])
 
-    sums = training.select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    sums = _drawn_documents(training, 0.5, 1).select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     if not sums:
         return params
     total = np.zeros(len(start) + 1)
