@@ -29,7 +29,7 @@ from quernel.llm.common import small_batches, table
 from quernel.llm.html_pages import labelled_pages
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^>]*)>|<[!?/][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^>]*)>|<[!?/][^>]*>|</?[a-zA-Z][^>]*\Z", re.S
 )
 #: Elements of HTML by what they mean for text.
 SILENT = frozenset("script style template noscript textarea select svg math iframe object video audio canvas title button head".split())
