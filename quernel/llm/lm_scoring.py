@@ -10,7 +10,7 @@ gives P(class | history) * P(leaf | class, history), and within a shared leaf a
 probabilities of all words and one unseen word per leaf add up to one.
 
 Training: a driver-side start on about START_WINDOWS windows of WINDOW tokens (the bound is this parameter), then one round over
-the corpus in which every task trains its own copy on a fixed share of its windows (1 in EVERY) and the copies are averaged, weighted
+the corpus in which every task trains its own copy on a fixed share of its documents (1 in EVERY) and the copies are averaged, weighted
 by their windows; errors are carried back over spans inside a window, the state over the whole window. Scoring
 carries the state through the complete document.
 
@@ -268,7 +268,7 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
 
 
 def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params, every: int = EVERY) -> gru.Params:
-    """One round over the corpus: each task trains a copy on one window in `every`, namely a 2 / every share of the windows of half its documents; the copies' mean, weighted by windows."""
+    """One round over the corpus: each task trains a copy on the windows of one document in `every`; the copies' mean, weighted by windows."""
     names = sorted(params)
     start = np.concatenate([params[k].ravel() for k in names])
     spark = training.sparkSession
@@ -281,14 +281,13 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
         def step(p):
             windows = np.concatenate(held)
             targets = own_leaves.leaves(windows)
-            return gru.train(p, own_leaves.input_rows(windows, targets), targets, rate=1e-3, epochs=1, lanes=32)[0]
+            return gru.train(p, own_leaves.input_rows(windows, targets), targets, rate=1e-3, epochs=1, lanes=64)[0]
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                drawn = _drawn(_windows(v.encode(_words(t)), v.end), 2 / every, 1)
-                if len(drawn):
-                    held.append(drawn)
-                    weight += len(drawn)
+                windows = _windows(v.encode(_words(t)), v.end)
+                held.append(windows)
+                weight += len(windows)
             if sum(map(len, held)) >= most:
                 p, held = step(p), []
         if held:
@@ -297,7 +296,7 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
             change = (np.concatenate([p[k].ravel() for k in names]) - start) * weight
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(change) + 1), pa.int32()), pa.array(np.append(change, weight).astype(np.float64))], names=["i", "x"])
 
-    sums = _drawn_documents(training, 0.5, 1).select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    sums = _drawn_documents(training, 1 / every, 1).select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     if not sums:
         return params
     total = np.zeros(len(start) + 1)
