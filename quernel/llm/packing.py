@@ -15,7 +15,6 @@ inside a text are ordinary text.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,14 +30,15 @@ MOST_TOKENS = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words a worker remembers; beyond that it starts anew, so memory stays bounded.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 #: Longer words are encoded each time.
 CACHED_BYTES = 64
 END = END_ID.to_bytes(4, "little")
 
 
-#: Latin-1 letters, then marks that never join letters in the tokenizer's pieces.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]{0,3})")
+#: Letters (ASCII, Latin-1), then marks that never join letters in the tokenizer's pieces.
+ASCII = re.compile(rb"([A-Za-z]+)([.,;:!?]{0,3})")
+LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]{0,3})")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -55,7 +55,7 @@ PROBES = ("The", "the.", "word", "Kühe,", "éçole", "NIÑO!?", "straße;", "th
 def plain_word_rule(tokenizer) -> bool:
     """Whether the tokenizer's merges alone give its ids for plain words (a lower-casing byte-level BPE with word ends)."""
     for word in PROBES:
-        letters, marks = PLAIN.fullmatch(word).groups()
+        letters, marks = LATIN.fullmatch(word).groups()
         got = [t.id for t in tokenizer.model.tokenize(letters.lower().encode().decode("latin-1").translate(BYTE_CHARS))]
         if got + tokenizer.encode(marks, add_special_tokens=False).ids != tokenizer.encode(word, add_special_tokens=False).ids:
             return False
@@ -74,22 +74,29 @@ class WordIds(dict):
 
         self.model = self.tokenizer.model
         self.plain = plain_word_rule(self.tokenizer)
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[bytes, bytes] = {}
 
     def whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        parts = PLAIN.fullmatch(text) if self.plain else None
-        if parts:  # letters are one piece and the marks after them another: only the merges are left to do
-            letters, marks = parts.groups()
-            if marks not in self.marks:
-                self.marks[marks] = self.whole(marks)
-            pieces = self.model.tokenize(letters.lower().encode().decode("latin-1").translate(BYTE_CHARS))
-            ids = struct.pack(f"<{len(pieces)}I", *[t.id for t in pieces]) + self.marks[marks]
-        else:
-            ids = self.whole(text)
+        ids = None
+        if self.plain:  # letters are one piece and the marks after them another: only the merges are left to do
+            parts = ASCII.fullmatch(word)
+            if parts:
+                letters, marks = parts.groups()
+                pieces = self.model.tokenize(letters.lower().decode())
+            elif parts := LATIN.fullmatch(word.decode("utf-8", "replace")):
+                letters, marks = parts[1], parts[2].encode()
+                pieces = self.model.tokenize(letters.lower().encode().decode("latin-1").translate(BYTE_CHARS))
+            if parts:
+                ids = b"".join([t.id.to_bytes(4, "little") for t in pieces])
+                if marks:
+                    if marks not in self.marks:
+                        self.marks[marks] = self.whole(marks.decode())
+                    ids += self.marks[marks]
+        if ids is None:
+            ids = self.whole(word.decode("utf-8", "replace"))
         if len(word) <= CACHED_BYTES:
             if len(self) >= CACHE_WORDS:
                 self.clear()
