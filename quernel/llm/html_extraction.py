@@ -1,8 +1,9 @@
 """Main-text extraction by a tree-structured graphical model over the DOM.
 
-Every block element is a node with a hidden label, main text or not. Its features (kind of tag, words of its class, id and role,
-length of its text, share of links in it, sentence end) depend on its label, and its label on its parent's
-(one table for sections and elements with a telling name, another for plain ones). All tables are counted from labelled pages.
+Every block element is a node with a hidden label, main text or not. Its features (kind of tag with the words of its class, id and
+role; length of its text with its share of links and sentence end; a copyright notice) depend on its label, and its label on its parent's
+(one table for sections and elements with a telling name, one for plain ones inside
+them, one for the rest). All tables are counted from labelled pages.
 Sum-product messages pass from the leaves to the root and back, exactly, and give each node's marginal; the text of
 nodes whose marginal for main text is over one half is kept.
 
@@ -45,26 +46,30 @@ ENDS = {
 }
 P_ENDERS = BLOCKS - {"html", "body", "label", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 P_SCOPE = frozenset({"td", "th", "table", "caption", "html", "object"})
-KINDS = {k: i for i, k in enumerate(["other", "nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "heading", "list", "item", "table", "quote", "figure", "label", "root"])}
+KINDS = {k: i for i, k in enumerate(["other", "nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "title", "heading", "list", "item", "table", "quote", "figure", "label", "root"])}
 KIND_OF = {
-    **{k: KINDS[k] for k in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "label")}, **{f"h{i}": KINDS["heading"] for i in range(1, 7)},
+    **{k: KINDS[k] for k in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "label")}, "h1": KINDS["title"], **{f"h{i}": KINDS["heading"] for i in range(2, 7)},
     **dict.fromkeys(("ul", "ol", "dl", "menu"), KINDS["list"]), **dict.fromkeys(("li", "dt", "dd"), KINDS["item"]), **dict.fromkeys(("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"), KINDS["table"]),
     **dict.fromkeys(("blockquote", "pre"), KINDS["quote"]), **dict.fromkeys(("figure", "figcaption"), KINDS["figure"]), **dict.fromkeys(("html", "body"), KINDS["root"]), "dialog": KINDS["aside"], "search": KINDS["form"],
 }
 #: Words in class, id and role that tell what an element is; the first list that has one decides.
 CUES = [
+    re.compile(r"(?:^| )hidden(?:$| )"),
     re.compile(r"comment|repl(?:y|ies)|disqus|discussion|guestbook"),
     re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adbox|promo\w*|sponsor\w*|cookies?|notice|consent|gdpr|alert|popup|modal|newsletter|subscribe|banner)(?:[^a-z]|$)"),
     re.compile(r"nav|menu|breadcrumb|sidebar|(?:^|[^a-z])side(?:[^a-z]|$)|foot|header|masthead|topbar|widget|share|social|related|recommend|pagination|pager|login|search|signup|toolbar|copyright|legal|tags|secondary|hidden|contentinfo|complementary"),
     re.compile(r"article|content|entry|story|(?:^|[^a-z])post|(?:^|[^a-z])main|(?:^|[^a-z])text"),
 ]
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: Weight of the backoff, in nodes.
+BACKOFF = 20
+LEGAL = re.compile(r"\s*(?:©|&copy;|copyright\b|\(c\) ?\d)", re.I)
 LABEL = re.compile(r'\s*data-label="(\d)"')
 
 
 @lru_cache(20_000)
 def _cue(attrs: str) -> int:
-    """0: nothing telling, else 1 + the number of the list in CUES."""
+    """0: nothing telling, else 1 + the number of the first list in CUES that has a word."""
     names = []
     for name, value in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -79,10 +84,10 @@ def _cue(attrs: str) -> int:
 class Page:
     """Nodes in page order (parents first) and the runs of text between block boundaries."""
 
-    __slots__ = ("parent", "kind", "cue", "own", "linked", "dot", "label", "runs")
+    __slots__ = ("parent", "kind", "cue", "own", "linked", "dot", "legal", "label", "runs")
 
     def __init__(self, html: str, labels: bool = False):
-        self.parent, self.kind, self.cue, self.own, self.linked, self.dot, self.label = [-1], [KINDS["root"]], [0], [0], [0], [0], [-1]
+        self.parent, self.kind, self.cue, self.own, self.linked, self.dot, self.legal, self.label = [-1], [KINDS["root"]], [0], [0], [0], [0], [0], [-1]
         self.runs: list[list[tuple[int, str]]] = [[]]
         stack: list[tuple[str, int]] = [("", 0)]
         node, links, at, size = 0, 0, 0, len(html)
@@ -100,9 +105,9 @@ class Page:
                 self.own[node] += n
                 if links:
                     self.linked[node] += n
-                end = raw.rstrip()[-1:]
-                if end:
-                    self.dot[node] = 1 if end in ".!?…" else 0
+                self.dot[node] = 1 if raw.rstrip()[-1:] in ".!?…" else 0
+                if n < 300 and LEGAL.match(raw):
+                    self.legal[node] = 1
             elif raw:
                 run.append((node, " "))
             if m is None:
@@ -143,13 +148,14 @@ class Page:
                 if tag in ENDS:
                     node, links = self._leave(stack, *ENDS[tag], node, links)
             cue = _cue(attrs) if attrs else 0
-            if block or (cue and cue < 4):
+            if block or 0 < cue < len(CUES):
                 self.parent.append(node)
                 self.kind.append(KIND_OF.get(tag, 0))
                 self.cue.append(cue)
                 self.own.append(0)
                 self.linked.append(0)
                 self.dot.append(0)
+                self.legal.append(0)
                 found = LABEL.search(attrs) if labels else None
                 self.label.append(int(found[1]) if found else -1)
                 node = len(self.parent) - 1
@@ -174,18 +180,21 @@ class Page:
             node = stack[-1][1]
         return node, links
 
-    def features(self) -> list[tuple[int, int, int, int]]:
-        """(kind, cue, length, links and sentence end) of every node."""
+    def features(self) -> list[tuple[int, int, int]]:
+        """(kind and cue; kind, length, links and sentence end; legal notice) of every node."""
         out = []
-        for k, c, n, linked, dot in zip(self.kind, self.cue, self.own, self.linked, self.dot, strict=True):
+        for k, c, n, linked, dot, legal in zip(self.kind, self.cue, self.own, self.linked, self.dot, self.legal, strict=True):
             size = 0 if n == 0 else 1 if n < 25 else 2 if n < 80 else 3 if n < 200 else 4
             dense = 0 if n == 0 else 1 if linked * 2 > n else 2 if linked * 5 > n else 3 + dot
-            out.append((k, c, size, dense))
+            out.append((k * (len(CUES) + 1) + c, k * 25 + size * 5 + dense, legal))
         return out
 
-    def plain(self, i: int) -> int:
-        """1 for a node whose tag and names tell nothing, 0 for sections and telling names."""
-        return int(self.cue[i] == 0 and self.kind[i] not in _TELLING)
+    def _tells(self, i: int) -> bool:
+        return self.cue[i] != 0 or self.kind[i] in _TELLING
+
+    def bond(self, i: int) -> int:
+        """Which table binds a node to its parent: 0 for sections and telling names, 2 for plain nodes right inside one, 1 for the rest."""
+        return 0 if self._tells(i) else 2 if self._tells(self.parent[i]) else 1
 
     def text(self, keep) -> str:
         blocks = []
@@ -204,9 +213,9 @@ class TreeModel:
     """Tables counted from labelled pages (add-one smoothing) and exact inference on a page's tree."""
 
     def __init__(self, pages: list[str]):
-        sizes = (len(KINDS), len(CUES) + 1, 5, 5)
-        seen = [[[1.0] * n for n in sizes] for _ in range(2)]
-        pair = [[[1.0, 1.0], [1.0, 1.0]] for _ in range(2)]
+        sizes = (len(KINDS) * (len(CUES) + 1), len(KINDS) * 25, 2)
+        seen = [[[0.5] * n for n in sizes] for _ in range(2)]
+        pair = [[[1.0, 1.0], [1.0, 1.0]] for _ in range(3)]
         root = [1.0, 1.0]
         for html in pages:
             page = Page(html, labels=True)
@@ -223,15 +232,24 @@ class TreeModel:
                 for t, v in zip(seen[labels[i]], f, strict=True):
                     t[v] += 1
                 if i:
-                    pair[page.plain(i)][labels[page.parent[i]]][labels[i]] += 1
+                    pair[page.bond(i)][labels[page.parent[i]]][labels[i]] += 1
                 else:
                     root[labels[0]] += 1
         self.root = [x / sum(root) for x in root]
         self.pair = [[[x / sum(row) for x in row] for row in t] for t in pair]
-        self.tables = [[[x / sum(t) for x in t] for t in by] for by in seen]
-        self.known: dict[tuple[int, int, int, int], tuple[float, float]] = {}
-
-    def evidence(self, f: tuple[int, int, int, int]) -> tuple[float, float]:
+        cues = len(CUES) + 1
+        for by in seen:  # combinations seldom seen lean on kind and cue apart
+            t = by[0]
+            total = sum(t)
+            kinds = [sum(t[k * cues : (k + 1) * cues]) / total for k in range(len(KINDS))]
+            names = [sum(t[c::cues]) / total for c in range(cues)]
+            by[0] = [x - 0.49 + BACKOFF * kinds[i // cues] * names[i % cues] for i, x in enumerate(t)]
+        share = lambda t, width: [x / s for at in range(0, len(t), width) for s in (sum(t[at : at + width]),) for x in t[at : at + width]]
+        # P(kind, cue | label), P(length, links, end | kind, label), P(legal | label)
+        self.tables = [[share(t, width) for t, width in zip(by, (len(by[0]), 25, 2), strict=True)] for by in seen]
+        self.known: dict[tuple[int, int, int], tuple[float, float]] = {}
+
+    def evidence(self, f: tuple[int, int, int]) -> tuple[float, float]:
         got = self.known.get(f)
         if got is None:
             p = [1.0, 1.0]
@@ -248,10 +266,10 @@ class TreeModel:
         for i, f in enumerate(page.features()):
             zero[i], one[i] = self.evidence(f)
         up = [(1.0, 1.0)] * n
-        plain = [self.pair[page.plain(i)] for i in range(n)]
+        bonds = [self.pair[page.bond(i)] for i in range(n)]
         for i in range(n - 1, 0, -1):
             a, b = zero[i], one[i]
-            (t00, t01), (t10, t11) = plain[i]
+            (t00, t01), (t10, t11) = bonds[i]
             m0, m1 = t00 * a + t01 * b, t10 * a + t11 * b
             s = m0 + m1
             up[i] = m0, m1 = m0 / s, m1 / s
@@ -267,7 +285,7 @@ class TreeModel:
             m0, m1 = up[i]
             q = out[parent[i]]
             d0, d1 = (1 - q) / m0, q / m1
-            (t00, t01), (t10, t11) = plain[i]
+            (t00, t01), (t10, t11) = bonds[i]
             a = zero[i] * (d0 * t00 + d1 * t10)
             b = one[i] * (d0 * t01 + d1 * t11)
             out[i] = b / (a + b)

@@ -38,6 +38,8 @@ def test_page_text():
         ('<body><h1>Plain page</h1><p>Nothing else than text is here, and it is long enough.</p><p>Another paragraph of words.</p></body>', "Plain page\nNothing else than text is here, and it is long enough.\nAnother paragraph of words."),
         ('<main><section class="post"><p>Body text of the post goes here.</p></section><ol class="commentlist"><li class="comment"><p>A reader says this about it.</p></li></ol></main>', "Body text of the post goes here."),
         ('<div class="wrapper"><div class="advert"><p>Buy now at a low price today.</p></div><article><p>The real text of this page.</p><aside class="promo">Subscribe today</aside><p>It goes on here.</p></article></div>', "The real text of this page.\nIt goes on here."),
+        ('<nav><a href="1">x</a></nav><h1>T</h1><p>The words of this page go on for a while, and make sense.</p><p>They do, and they go on for longer than that.</p><ul id="comments"><li>I liked this text a lot. Thanks!</li></ul><footer>f</footer>', "T\nThe words of this page go on for a while, and make sense.\nThey do, and they go on for longer than that."),
+        ('<main><article><header><h1>Title here</h1></header><section><h2>A</h2><p>The words of this page go on for a while.</p></section><section><h2>B</h2><p>Short.</p></section><p hidden>Not shown to anybody.</p></article></main>', "Title here\nA\nThe words of this page go on for a while.\nB\nShort."),
         ("", ""), ("<p>", ""), ("<script>only</script>", ""), ("<!-- open", ""), ('<a href="', ""), ("</p></div>", ""),
     ],
 )
@@ -55,7 +57,7 @@ def test_messages_give_exact_marginals():
         x = [bits >> i & 1 for i in range(n)]
         p = model.root[x[0]] * evidence[0][x[0]]
         for i in range(1, n):
-            p *= model.pair[page.plain(i)][x[page.parent[i]]][x[i]] * evidence[i][x[i]]
+            p *= model.pair[page.bond(i)][x[page.parent[i]]][x[i]] * evidence[i][x[i]]
         for i in range(n):
             joint[i, x[i]] += p
     assert np.allclose(joint[:, 1] / joint.sum(1), model.marginals(page))
