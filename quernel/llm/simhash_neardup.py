@@ -39,6 +39,8 @@ MOST_BITS = 2
 #: Distinct fingerprints in a bucket up to which its pairs are verified one by one.
 BUCKET_PAIRS = 32
 SEED = 42
+#: Most fingerprints that are broadcast because each has more than 1 / HOT_PRINTS of the documents.
+HOT_PRINTS = 100_000
 
 
 @lru_cache(1)
@@ -142,13 +144,18 @@ def links(distinct: DataFrame, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) per document row."""
     prints = stash(fingerprints(docs, key, text), "prints")
-    firsts = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
+    firsts = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct-prints")
     comps = connected_components(links(firsts))
     member = comps.join(firsts.withColumnRenamed("fp", "node"), "node")
     roots = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = comps.join(roots, "root").select(F.col("node").alias("fp"), F.col("component_id").alias("linked_id"))
-    whole = firsts.join(named, "fp", "left").select("fp", F.coalesce("linked_id", "first_id").alias("component_id"))
-    return prints.join(whole, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    whole = stash(firsts.join(named, "fp", "left").select("fp", "n", F.coalesce("linked_id", "first_id").alias("component_id")), "named-prints")
+    # fingerprints of many documents are at most HOT_PRINTS, so they are broadcast and their documents never meet in one task
+    many = F.col("n") > max(1000, prints.count() // HOT_PRINTS)
+    hot = F.broadcast(whole.where(many).drop("n"))
+    rest = prints.join(hot.select("fp"), "fp", "left_anti").join(whole.where(~many).drop("n"), "fp")
+    rows = prints.join(hot, "fp").select("doc_id", "fp", "component_id").unionByName(rest.select("doc_id", "fp", "component_id"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -170,3 +170,11 @@ def test_packing_round_trip(spark, texts):
     assert packing.pack(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         packing.pack(df, most=1000)
+
+
+def test_many_copies_of_one_text(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'one text that is copied again and again' ELSE concat('text number ', id, ' of the rest ', id * 7) END AS text")
+    rows = simhash_neardup.near_duplicates(df.union(spark.range(2000).selectExpr("9000 + id", "'one text that is copied again and again'"))).collect()
+    assert len(rows) == 5000
+    copies = [x for x in rows if x["doc_id"] % 3 == 0 and x["doc_id"] < 3000 or x["doc_id"] >= 9000]
+    assert {x["component_id"] for x in copies} == {0} and len(copies) == 3000
