@@ -9,7 +9,7 @@ lookups, every byte of them. The language with the shortest exact code wins; `sc
 
 Learning: the statistics come from at most about DOCS_PER_LANGUAGE training documents of each language (a hash of the id
 picks them; the bound is this parameter), counted on the executors; the CONTEXTS most frequent (context, byte)
-pairs of a language are kept.
+pairs of a language are kept (fewer with many languages: DRIVER_ROWS and CELLS bound the driver's rows and the workers' table).
 
 Defined results: a null text or one without a letter is `und` with score 0; so is any text when nothing could be
 learned; ties go to the language that sorts first; documents with a null lang are not learned from, a null id counts as
@@ -32,6 +32,9 @@ ORDER = 3
 DOCS_PER_LANGUAGE = 1500
 CONTEXTS = 60_000
 LANGUAGES = 256
+#: Numbers (4 bytes each) in the table of code lengths, and rows that the driver reads of all languages together.
+CELLS = 48_000_000
+DRIVER_ROWS = 600_000
 #: Bytes scored at a time.
 BLOCK = 1 << 18
 
@@ -43,15 +46,18 @@ def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
 class ContextTrees:
     """The automaton and the code lengths of all languages' trees."""
 
-    def __init__(self, grams: dict[str, dict[bytes, int]], order: int = ORDER):
-        """grams: language -> {context + byte: count} with contexts of 0 to `order` bytes."""
+    def __init__(self, grams: dict[str, dict[bytes, int]], order: int = ORDER, cells: int = CELLS):
+        """grams: language -> {context + byte: count} with contexts of 0 to `order` bytes. The most frequent contexts are kept, as many as give a table of about `cells` numbers."""
         self.languages = sorted(grams)
         self.order = order
-        contexts = {b""}
+        times: dict[bytes, int] = {b"": 0}
         for g in grams.values():
-            for s in g:
+            for s, c in g.items():
                 for k in range(len(s)):
-                    contexts.add(s[k:-1])
+                    times[s[k:-1]] = times.get(s[k:-1], 0) + c
+        width = len({s[-1] for g in grams.values() for s in g}) + 1
+        most = max(256, cells // (width * len(grams)))
+        contexts = set(sorted(times, key=lambda c: (len(c) > 0, -times[c], len(c), c))[:most])
         # every prefix of a context is needed to walk into it
         for c in list(contexts):
             contexts.update(c[:k] for k in range(len(c)))
@@ -162,6 +168,7 @@ def learn(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, contexts: int
         picked = picked | ((F.col("lang") == lang) & (draw < int(min(1.0, per_language / n) * (1 << 20))))
     grams = stash(count_grams(known.where(picked).select("lang", F.col("text").cast("binary").alias("text")), order), "grams")
     trees: dict[str, dict[bytes, int]] = {}
+    contexts = min(contexts, DRIVER_ROWS // len(sizes))
     for lang in sizes:
         top = grams.where(F.col("lang") == lang).orderBy(F.octet_length("gram") > 1, F.desc("n"), "gram").limit(contexts).collect()
         if top:

@@ -7,7 +7,7 @@ interquartile range, never tighter than the `slack` of that ratio (so a group wi
 ordinary documents).
 
 Defined results: a null or empty text has no words and fails the base rule; null lang and null source are groups of
-their own; repeated rows are judged row by row; extra columns pass through `filter_documents` untouched; an empty table
+their own; repeated rows are judged row by row; extra columns are not looked at and pass through `filter_documents` untouched; an empty table
 gives an empty result.
 """
 
@@ -62,10 +62,10 @@ def _repeat_words(words: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(let(hashes, flagged), covered))
 
 
-def counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs without its text plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (all long)."""
+def counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
+    """The columns of `keep` that docs has plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (all long)."""
     body = F.coalesce(F.col(text), F.lit(""))
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in keep if c in docs.columns]
     symbols = "#*$%&|<>"
     row = docs.select(*keep, body.alias("_text"), words_of(F.col(text)).alias("_words"))
     size = lambda c: F.size(c).cast("long")
@@ -101,9 +101,9 @@ def thresholds(measured: DataFrame, k: int = SKETCH_K, fence: float = FENCE, min
     return both.select("lang", "source", *[limit(r) for r in RATIOS])
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document row: its other columns, the counts, base_failed and kept."""
-    measured = counts(docs, text)
+def judge(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per document row: key, lang, source, the counts, the ratios, base_failed and kept."""
+    measured = counts(docs, text, (key, "lang", "source"))
     for need in ("lang", "source"):
         if need not in measured.columns:
             measured = measured.withColumn(need, F.lit(None).cast("string"))
@@ -126,7 +126,7 @@ def filter_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -
 
     The verdicts carry no text; rejected ids are anti-joined to the documents. A null id can't be joined: its row is kept
     unless it has no word."""
-    rejected = judge(docs.select(key, text, *[c for c in ("lang", "source") if c in docs.columns and c not in (key, text)]), text)
+    rejected = judge(docs, text, key)
     rejected = stash(rejected.where("NOT kept").select(F.col(key).alias("_rejected")).where("_rejected IS NOT NULL").distinct(), "rejected")
     return docs.join(rejected, docs[key] == rejected["_rejected"], "left_anti")
 

@@ -212,8 +212,8 @@ def _default_findings() -> tuple:
     return tuple(labelled_findings())
 
 
-def with_findings(docs: DataFrame, forest: list | None = None, text: str = "text", path: str | None = "source", cut: float = CUT) -> DataFrame:
-    """docs plus `_secrets`: an array of (word_no, value, rule, score) of the candidates that the forest calls secrets."""
+def with_findings(docs: DataFrame, name: str, forest: list | None = None, text: str = "text", path: str | None = "source", cut: float = CUT) -> DataFrame:
+    """docs plus the column `name`: an array of (word_no, value, rule, score) of the candidates that the forest calls secrets."""
     forest = forest or train(docs.sparkSession, list(_default_findings()))
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
 
@@ -236,22 +236,31 @@ def with_findings(docs: DataFrame, forest: list | None = None, text: str = "text
     secrets = F.when(shaped, let(words, lambda w: F.when(F.size(w) > 0, found(w)).otherwise(none))).otherwise(none)
     blocks = F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(KEY_BLOCK), F.lit(0)), lambda b: F.struct(F.lit(None).cast("int").alias("word_no"), b.alias("value"), F.lit("private_key").alias("rule"), F.lit(1.0).alias("score")))
     blocks = F.when(F.contains(F.col(text), F.lit("PRIVATE KEY-----")), blocks).otherwise(none)
-    return docs.withColumn("_secrets", F.concat(secrets, blocks))
+    return docs.withColumn(name, F.concat(secrets, blocks))
+
+
+def _free_name(docs: DataFrame) -> str:
+    name = "_secrets"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def scan(docs: DataFrame, forest: list | None = None, key: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
     """(doc_id, word_no, rule, n_chars, value_sha256, score) of every secret; the value itself is not shown."""
-    hits = with_findings(docs, forest, text, path).select(F.col(key).alias("doc_id"), F.explode("_secrets").alias("s"))
+    name = _free_name(docs)
+    hits = with_findings(docs, name, forest, text, path).select(F.col(key).alias("doc_id"), F.explode(name).alias("s"))
     return hits.select("doc_id", "s.word_no", "s.rule", F.char_length("s.value").cast("long").alias("n_chars"), F.sha2("s.value", 256).alias("value_sha256"), "s.score")
 
 
 def redact(docs: DataFrame, forest: list | None = None, text: str = "text", path: str | None = "source") -> DataFrame:
     """docs with every secret replaced by MARK, other columns unchanged but n_chars, which is counted anew."""
-    cleaned = F.aggregate(F.col("_secrets"), F.col(text), lambda acc, s: F.replace(acc, s["value"], F.lit(MARK)))
-    out = with_findings(docs, forest, text, path).withColumn(text, F.when(F.size("_secrets") > 0, cleaned).otherwise(F.col(text)))
+    name = _free_name(docs)
+    cleaned = F.aggregate(F.col(name), F.col(text), lambda acc, s: F.replace(acc, s["value"], F.lit(MARK)))
+    out = with_findings(docs, name, forest, text, path).withColumn(text, F.when(F.size(name) > 0, cleaned).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_secrets") > 0, F.char_length(text).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.drop("_secrets")
+        out = out.withColumn("n_chars", F.when(F.size(name) > 0, F.char_length(text).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return out.drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
