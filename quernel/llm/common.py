@@ -33,24 +33,34 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def _stashes(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quernel-{spark.sparkContext.applicationId}"
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as Parquet into the shared folder and read it back (survives lost executors, keeps statistics)."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stash-{name}-{uuid.uuid4().hex}"
+    path = f"{_stashes(spark)}/stash-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stash(df: DataFrame) -> None:
     """Delete what `stash` wrote for df, once no later plan reads it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    root = shared_dir(spark)
     for file in df.inputFiles()[:1]:
         folder = file.rsplit("/", 1)[0]
-        if "/stash-" in folder and root.split(":", 1)[-1].lstrip("/") in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if "/stash-" in folder and f"/quernel-{df.sparkSession.sparkContext.applicationId}/" in folder:
+            _delete(df.sparkSession, folder)
+
+
+def release_stashes(spark: SparkSession) -> None:
+    """Delete all stashes of this application; call it when no result of an operator is read any more."""
+    _delete(spark, _stashes(spark))
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -128,6 +128,21 @@ def test_warc_empty(spark):
     assert warc.read_archives(spark, folder, warc.write_archives(df.limit(0), folder).select("bundle").distinct()).count() == 0
 
 
+def test_stashes_can_be_released(spark):
+    from pathlib import Path
+
+    from quernel.llm.common import drop_stash, release_stashes, stash
+
+    a, b = stash(spark.range(5), "a"), stash(spark.range(6), "b")
+    place = Path(a.inputFiles()[0].removeprefix("file://")).parent
+    assert place.exists() and a.count() == 5
+    drop_stash(a)
+    drop_stash(spark.range(3))
+    assert not place.exists() and b.count() == 6
+    release_stashes(spark)
+    assert not place.parent.exists()
+
+
 def corpus(spark, n=160):
     r = random.Random(9)
     stock = {"en": "the and that with from this have which there would".split(), "de": "der und nicht mit von eine auch werden über können".split(), "fr": "les des une dans pour avec été sur être même".split()}
@@ -202,6 +217,17 @@ def test_gradients():
         assert g[k][i] == pytest.approx((gru._gradients(up, ids, leaves, h)[2] - gru._gradients(down, ids, leaves, h)[2]) / 2e-3, rel=0.02, abs=2e-5)
 
 
+def test_large_weights_are_made_safe():
+    p = gru.new_params(10, np.ones(gru.LEAVES))
+    same = gru.safe(p)
+    assert all(np.allclose(same[k], p[k]) for k in p)
+    p["Wm"] = p["Wm"] * 1e4
+    big = gru.safe(p)
+    states, leaves = np.ones((gru.LEAVES, gru.HIDDEN), np.float32), np.arange(gru.LEAVES)
+    got = gru.leaf_log_probs(big, states, leaves)
+    assert np.isfinite(got).all() and np.exp(got).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_scorer_carries_the_state():
     r = np.random.RandomState(2)
     p = gru.new_params(60, np.ones(gru.LEAVES))
