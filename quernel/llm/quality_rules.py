@@ -22,7 +22,7 @@ from quernel.llm.common import BLANKS, broadcast_if_small, let, stash, table, wo
 RATIOS = {
     "r_symbols": ("n_symbols / n_words", 0.20),
     "r_dup_lines": ("n_dup_lines / n_lines", 0.35),
-    "r_repeats": ("n_repeat_words / n_words", 0.35),
+    "r_repeats": ("n_repeat_words / n_words", 0.45),
     "r_word_len": ("word_chars / n_words", 3.0),
 }
 FENCE = 3.0
