@@ -13,6 +13,8 @@ CLASSES, MEMBERS = 16, 16
 LEAVES = CLASSES * MEMBERS
 #: Steps through which an error is carried back.
 SPAN = 32
+#: Largest logit in scoring; exp(60) is far within float32.
+SAFE_LOGIT = 60.0
 
 Params = dict[str, np.ndarray]
 
@@ -45,12 +47,26 @@ def _by_class(leaves: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(CLASSES) if cuts[k + 1] > cuts[k]]
 
 
+def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at one place. Logits are at most SAFE_LOGIT (see `safe`), so their exponentials don't overflow."""
+    return x[np.arange(len(x)), at] - np.log(np.exp(x) @ np.ones(x.shape[1], x.dtype))
+
+
+def safe(p: Params) -> Params:
+    """p with output weights scaled down, class by class, where a logit could exceed SAFE_LOGIT for some state in [-1, 1]."""
+    out = dict(p)
+    for w, b in (("Wc", "bc"), ("Wm", "bm")):
+        most = np.abs(p[w]).sum(-2).max(-1) + np.abs(p[b]).max(-1)
+        scale = np.minimum(1, SAFE_LOGIT / np.maximum(most, 1e-9)).astype(p[w].dtype)
+        out[w], out[b] = p[w] * scale[..., None, None], p[b] * scale[..., None]
+    return out
+
+
 def leaf_log_probs(p: Params, states: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each leaf given its state."""
-    n = np.arange(len(leaves))
-    out = _log_softmax(states @ p["Wc"] + p["bc"])[n, leaves // MEMBERS]
+    """Natural log-probability of each leaf given its state, p being safe."""
+    out = _picked(states @ p["Wc"] + p["bc"], leaves // MEMBERS)
     for k, rows in _by_class(leaves):
-        out[rows] += _log_softmax(states[rows] @ p["Wm"][k] + p["bm"][k])[np.arange(len(rows)), leaves[rows] % MEMBERS]
+        out[rows] += _picked(states[rows] @ p["Wm"][k] + p["bm"][k], leaves[rows] % MEMBERS)
     return out
 
 
@@ -137,7 +153,7 @@ class Scorer:
     """Log-likelihoods of whole documents: lanes take document after document, window by window, the state carried across windows."""
 
     def __init__(self, p: Params):
-        self.p = p
+        self.p = p = safe(p)
         self.table = (p["E"] @ p["W"] + p["b"]).astype(np.float32)
 
     def score(self, documents: list[tuple[np.ndarray, np.ndarray]], most_lanes: int = 512, window: int = SPAN) -> np.ndarray:
