@@ -4,14 +4,14 @@ Counting covers every training token: word counts are summed by Spark, and the w
 to the workers; the occurrences of all other words are joined to their counts.
 
 Tokens are predicted in three factors. 127 most frequent words and the end are leaves of their own; all other words share
-128 leaves by their last two bytes, grouped by the company they keep. Leaves belong to balanced classes. The network
+128 leaves by their last two bytes, grouped by the company they keep. Leaves belong to balanced classes. Both groupings are counted
+over every training document. The network
 gives P(class | history) * P(leaf | class, history), and within a shared leaf a word has the share
 (c + 0.5) / (n + 0.5 (v + 1)) of the leaf's training tokens n and distinct words v, an unseen word the share of c = 0, so the
 probabilities of all words and one unseen word per leaf add up to one.
 
 Training: a driver-side start on about START_WINDOWS windows of WINDOW tokens (the bound is this parameter), then one round over
-the corpus in which every task trains its own copy on a fixed share of its documents (1 in EVERY) and the copies are averaged, weighted
-by their windows; errors are carried back over spans inside a window, the state over the whole window. Scoring
+every training document of the corpus in which every task trains its own copy and the copies are averaged, weighted by their windows; errors are carried back over spans inside a window, the state over the whole window. Scoring
 carries the state through the complete document.
 
 Defined results: a null or blank text is the end alone; a null doc_id counts as training; repeated rows are scored and
@@ -22,7 +22,7 @@ base score.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +36,10 @@ MOST_FREQUENT = 300_000
 WORD_BYTES = 64
 WINDOW = 256
 START_WINDOWS = 4000
-EVERY = 16
 OWN_INPUTS = 2048
 OWN_LEAVES = gru.LEAVES // 2
+#: Codes of the last two bytes of a word.
+SUFFIXES = 1 << 16
 SCORE_TOKENS = 1_500_000
 #: Distinct words a counting task holds before it passes them on.
 COUNTED_WORDS = 400_000
@@ -121,40 +122,39 @@ def _halves(rows: np.ndarray, weight: np.ndarray, groups: int, sizes_by_weight:
     return out
 
 
+def _columns(v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix code of each word, and the own leaf of the first words and the end (the last leaf); -1 for the others."""
+    codes = np.fromiter((suffix_code(w) for w in v), dtype=np.int64, count=len(v))
+    column = np.full(len(v) + 1, -1)
+    own = min(OWN_LEAVES - 1, len(v))
+    column[:own] = np.arange(own)
+    column[v.end] = OWN_LEAVES - 1
+    return codes, column
+
+
 class Leaves:
     """Which leaf each token belongs to, and the input row of each token."""
 
-    def __init__(self, vocabulary: Vocabulary, windows: np.ndarray):
-        """windows: (n, WINDOW) encoded sample tokens, the padding (of short documents) is the end."""
+    def __init__(self, vocabulary: Vocabulary, near: np.ndarray, weight: np.ndarray, pairs_of: Callable[[Leaves], np.ndarray]):
+        """near: (SUFFIXES, OWN_LEAVES) own tokens near those of each suffix code; weight: tokens of each code without an own leaf;
+        pairs_of: (LEAVES, LEAVES) counts of a leaf and the next one, given the leaves so far."""
         v, words = vocabulary, list(vocabulary)
         self.end = v.end
         own = min(OWN_LEAVES - 1, len(words))
-        codes = np.array([suffix_code(w) for w in words], dtype=np.int64)
-        # own leaf of the first words, the end the last of them; others: none
-        column = np.full(len(words) + 1, -1)
-        column[:own] = np.arange(own)
-        column[v.end] = OWN_LEAVES - 1
-        flat = windows.ravel()
-        token_column = np.where(flat >= 0, column[np.maximum(flat, 0)], -1)
-        token_code = np.where(flat >= 0, np.append(codes, 0)[np.maximum(flat, 0)], -1 - flat)
-        kinds, kind = np.unique(token_code[token_column < 0], return_inverse=True)
-        kind_at = np.full(len(flat), -1)
-        kind_at[token_column < 0] = kind
-        near = np.full((max(1, len(kinds)), OWN_LEAVES), 0.5 / OWN_LEAVES)
-        for away in range(1, 6):
-            for a, b in ((kind_at[away:], token_column[:-away]), (kind_at[:-away], token_column[away:])):
-                both = (a >= 0) & (b >= 0) & (b != OWN_LEAVES - 1)
-                near += np.bincount(a[both] * OWN_LEAVES + b[both], minlength=near.size).reshape(near.shape)
-        weight = np.bincount(kind, minlength=len(near)).astype(float)
-        group = _halves(np.sqrt(near / near.sum(1, keepdims=True)), weight, OWN_LEAVES, True)
-        by_code = np.arange(65536) % OWN_LEAVES
+        codes, column = _columns(v)
+        kinds = np.flatnonzero(weight)
+        by_code = np.arange(SUFFIXES) % OWN_LEAVES
         if len(kinds):
-            by_code[kinds] = group
-        leaf = np.where(token_column >= 0, token_column, OWN_LEAVES + by_code[token_code])
-        pair = np.full((gru.LEAVES, 2 * gru.LEAVES), 0.1)
-        np.add.at(pair, (leaf[1:], leaf[:-1]), 1)
-        np.add.at(pair, (leaf[:-1], gru.LEAVES + leaf[1:]), 1)
-        block = _halves(np.sqrt(pair / pair.sum(1, keepdims=True)), np.bincount(leaf, minlength=gru.LEAVES) + 1.0, gru.CLASSES, False)
+            rows = near[kinds] + 0.5 / OWN_LEAVES
+            by_code[kinds] = _halves(np.sqrt(rows / rows.sum(1, keepdims=True)), weight[kinds].astype(float), OWN_LEAVES, True)
+        self.of_code = (OWN_LEAVES + by_code).astype(np.int32)
+        self.of_id = np.where(column >= 0, column, self.of_code[np.append(codes, 0)]).astype(np.int32)
+        follows = pairs_of(self)
+        times = np.bincount(self.of_code, weights=weight, minlength=gru.LEAVES)
+        np.add.at(times, self.of_id[: v.end][:own], v.counts[:own])
+        times[self.of_id[v.end]] += v.counts[v.end]
+        pair = 0.1 + np.concatenate([follows.T, follows], axis=1)
+        block = _halves(np.sqrt(pair / pair.sum(1, keepdims=True)), times + 1.0, gru.CLASSES, False)
         place = np.empty(gru.LEAVES, dtype=np.int32)
         place[np.argsort(block, kind="stable")] = np.arange(gru.LEAVES)
         self.of_code = place[OWN_LEAVES + by_code].astype(np.int32)
@@ -199,6 +199,61 @@ class Model:
         self.n_tokens, self.n_distinct, self.vocabulary, self.leaves, self.params = n_tokens, n_distinct, vocabulary, leaves, params
 
 
+def _summed(training: DataFrame, words_sent, size: int, add: Callable[[np.ndarray, np.ndarray], None], most: int = 500_000) -> np.ndarray:
+    """Counts (size) over all documents: in each task `add` puts the tokens of many documents, five ends after each, into a dense array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = words_sent.value
+        total, held, tokens = np.zeros(size, np.int32), [], 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                ids = v.encode(_words(t))
+                held += [ids, np.full(4, v.end, np.int32)]
+                tokens += len(ids)
+                if tokens > most:
+                    add(np.concatenate(held), total)
+                    held, tokens = [], 0
+        if held:
+            add(np.concatenate(held), total)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(total[there].astype(np.int64))], names=["i", "x"])
+
+    got = training.select("text").mapInArrow(run, "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    out = np.zeros(size)
+    out[got.column("i").to_numpy()] = got.column("x").to_numpy()
+    return out
+
+
+def company(training: DataFrame, words_sent) -> tuple[np.ndarray, np.ndarray]:
+    """near and weight of `Leaves`, counted over every document of training (text: binary)."""
+    cells = SUFFIXES * OWN_LEAVES
+    codes, column = _columns(words_sent.value)
+
+    def add(flat: np.ndarray, total: np.ndarray) -> None:
+        at = np.maximum(flat, 0)
+        of = np.where(flat >= 0, column[at], -1)
+        code = np.where(of >= 0, -1, np.where(flat >= 0, np.append(codes, 0)[at], -1 - flat))
+        np.add.at(total, cells + code[code >= 0], np.int32(1))
+        for away in range(1, 6):
+            for a, b in ((code[away:], of[:-away]), (code[:-away], of[away:])):
+                both = (a >= 0) & (b >= 0) & (b != OWN_LEAVES - 1)
+                np.add.at(total, a[both] * OWN_LEAVES + b[both], np.int32(1))
+
+    got = _summed(training, words_sent, cells + SUFFIXES, add)
+    return got[:cells].reshape(SUFFIXES, OWN_LEAVES), got[cells:]
+
+
+def followers(training: DataFrame, words_sent, leaves: Leaves) -> np.ndarray:
+    """(LEAVES, LEAVES): how often each leaf is followed by each, over every document of training."""
+    of_id, of_code = leaves.of_id, leaves.of_code
+
+    def add(flat: np.ndarray, total: np.ndarray) -> None:
+        leaf = np.where(flat >= 0, of_id[np.maximum(flat, 0)], of_code[np.minimum(-1 - flat, SUFFIXES - 1) * (flat < 0)])
+        total += np.bincount(leaf[:-1] * gru.LEAVES + leaf[1:], minlength=len(total)).astype(np.int32)
+
+    return _summed(training, words_sent, gru.LEAVES**2, add).reshape(gru.LEAVES, gru.LEAVES)
+
+
 def _drawn_documents(rows: DataFrame, share: float, salt: int) -> DataFrame:
     """A share of the documents, drawn by a hash of id and length: only these need to be encoded."""
     draw = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.octet_length("text")), F.lit(1 << 24))
@@ -249,7 +304,8 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
     windows = windows[np.lexsort(windows.T[::-1])]
     if not len(windows):
         windows = np.full((1, WINDOW), vocabulary.end, dtype=np.int32)
-    leaves = Leaves(vocabulary, windows)
+    near, weight = company(training, words_sent)
+    leaves = Leaves(vocabulary, near, weight, lambda so_far: followers(training, words_sent, so_far))
     own = spark.createDataFrame([(bytearray(w),) for w in leaves.own_words] or [(bytearray(b"\x00 no word"),)], "word binary")
     rest = counts.join(F.broadcast(own), "word", "left_anti")
     tail = F.when(F.octet_length("word") > 1, F.conv(F.hex(F.substring("word", -2, 2)), 16, 10)).otherwise(F.conv(F.hex("word"), 16, 10)).cast("int")
@@ -267,8 +323,8 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
     return Model(n_tokens, n_distinct, vocabulary, leaves, params), counts
 
 
-def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params, every: int = EVERY) -> gru.Params:
-    """One round over the corpus: each task trains a copy on the windows of one document in `every`; the copies' mean, weighted by windows."""
+def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params) -> gru.Params:
+    """One round over the corpus: each task trains a copy on the windows of its documents; the copies' mean, weighted by windows."""
     names = sorted(params)
     start = np.concatenate([params[k].ravel() for k in names])
     spark = training.sparkSession
@@ -276,7 +332,7 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, (own_leaves, p) = words_sent.value, sent.value
-        held, most, weight = [], 4096, 0
+        held, waiting, most, weight = [], 0, 4096, 0
 
         def step(p):
             windows = np.concatenate(held)
@@ -288,15 +344,16 @@ def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params,
                 windows = _windows(v.encode(_words(t)), v.end)
                 held.append(windows)
                 weight += len(windows)
-            if sum(map(len, held)) >= most:
-                p, held = step(p), []
+                waiting += len(windows)
+                if waiting >= most:
+                    p, held, waiting = step(p), [], 0
         if held:
             p = step(p)
         if weight:
             change = (np.concatenate([p[k].ravel() for k in names]) - start) * weight
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(change) + 1), pa.int32()), pa.array(np.append(change, weight).astype(np.float64))], names=["i", "x"])
 
-    sums = _drawn_documents(training, 1 / every, 1).select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    sums = training.select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     if not sums:
         return params
     total = np.zeros(len(start) + 1)

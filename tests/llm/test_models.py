@@ -310,3 +310,34 @@ def test_pipeline(spark, tmp_path):
     assert {x["doc_id"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()} == clean
     assert set(queries.QUERIES) == {*(f"op{n}_{k}" for n, k in enumerate(["license_scan", "html_extraction", "warc", "secret_scan", "decontamination", "quality_rules", "simhash_neardup", "language_id", "packing", "lm_scoring"], 1)), "pipeline"}
     assert all(m.query for m in (decontamination, packing, quality_rules, secret_scan, simhash_neardup))
+
+
+def test_every_training_document_is_learned(spark, monkeypatch):
+    """No document is drawn: groupings and the corpus round read them all, whatever the size of the start."""
+    monkeypatch.setattr(lm_scoring, "START_WINDOWS", 1)
+    rows, df = corpus(spark, 120)
+    training = lm_scoring._texts(df, "doc_id", "text").where("NOT held_out")
+    texts = [bytes(r["text"]).lower().split() for r in training.collect()]
+    c = collections.Counter(w for t in texts for w in t)
+    order = sorted(c, key=lambda w: (-c[w], w))[:200]
+    v = lm_scoring.Vocabulary(order, np.array([c[w] for w in order] + [len(texts)]))
+    sent = spark.sparkContext.broadcast(v)
+    near, weight = lm_scoring.company(training, sent)
+    want, total = collections.Counter(), collections.Counter()
+    own = order[: lm_scoring.OWN_LEAVES - 1]
+    for t in texts:
+        for i, w in enumerate(t):
+            if w not in own:
+                total[lm_scoring.suffix_code(w)] += 1
+                want.update((lm_scoring.suffix_code(w), own.index(x)) for x in [*t[max(0, i - 5) : i], *t[i + 1 : i + 6]] if x in own)
+    assert {k: int(weight[k]) for k in np.flatnonzero(weight)} == dict(total)
+    assert {(int(a), int(b)): int(near[a, b]) for a, b in zip(*np.nonzero(near), strict=True)} == dict(want)
+    leaves = lm_scoring.Leaves(v, near, weight, lambda so_far: lm_scoring.followers(training, sent, so_far))
+    p = gru.new_params(leaves.inputs, np.ones(gru.LEAVES))
+    got = lm_scoring.refine(training.coalesce(1), sent, leaves, p)
+    windows = np.concatenate([lm_scoring._windows(v.encode(t), v.end) for t in texts])
+    assert len(windows) <= 4096
+    targets = leaves.leaves(windows)
+    all_of_them = gru.train(p, leaves.input_rows(windows, targets), targets, rate=1e-3, epochs=1, lanes=64)[0]
+    assert all(np.allclose(got[k], x, atol=1e-3) for k, x in all_of_them.items())
+    assert not all(np.allclose(p[k], x, atol=1e-3) for k, x in all_of_them.items())
