@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quernel.llm.common import broadcast_if_small, small_batches, stash, table
 from quernel.llm.components import connected_components
+from quernel.llm.similar_texts import similar_documents
 
 #: Generator polynomial of the binary Golay code (fixed value).
 GENERATOR = 0b101011100011
@@ -159,8 +160,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their component, all columns unchanged; rows with a null id stay."""
-    extra = near_duplicates(docs, key, text).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct()
+    """The documents with the smallest id of their component by five-word similarity (`similar_texts`), all columns unchanged; rows with a null id stay."""
+    extra = similar_documents(docs, key, text).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct()
     extra = stash(extra, "copies")
     return docs.join(extra, docs[key] == extra["_copy"], "left_anti")
 

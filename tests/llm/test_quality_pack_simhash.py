@@ -178,3 +178,42 @@ def test_many_copies_of_one_text(spark):
     assert len(rows) == 5000
     copies = [x for x in rows if x["doc_id"] % 3 == 0 and x["doc_id"] < 3000 or x["doc_id"] >= 9000]
     assert {x["component_id"] for x in copies} == {0} and len(copies) == 3000
+
+
+def test_keep_one_finds_every_similar_pair(spark):
+    from quernel.llm import similar_texts
+
+    r = random.Random(8)
+    texts, notice = [], " ".join(f"notice{i}" for i in range(40))
+    for _ in range(25):
+        base = [f"w{r.randrange(5000)}" for _ in range(r.choice([6, 30, 120, 400]))]
+        texts.append(" ".join(base))
+        for changes in (1, 2, 3, 6, 9):
+            copy = list(base)
+            for _ in range(changes):
+                copy[r.randrange(len(copy))] = f"x{r.randrange(5000)}"
+            texts.append(" ".join(copy) + (f" {notice}" if r.random() < 0.3 else ""))
+    texts += ["", None, "one two", "One, two!", "one three"]
+
+    def shingles(t):
+        w = (t or "").lower().replace(",", "").replace("!", "").split()
+        return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    far = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or (sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                far += (simhash_neardup.fingerprint((texts[i] or "").encode()) ^ simhash_neardup.fingerprint((texts[j] or "").encode())).bit_count() > 2
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert far > 10
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {x["doc_id"]: x["component_id"] for x in similar_texts.similar_documents(df).collect()} == {i: root(i) for i in range(len(texts))}
+    assert sorted(x["doc_id"] for x in simhash_neardup.keep_one(df).collect()) == sorted({root(i) for i in range(len(texts))})
