@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,25 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset a temporary one is made, in local mode only (tests)."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        held = spark.sparkContext.getCheckpointDir()
-        if not held:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quernel-"))
-            held = spark.sparkContext.getCheckpointDir()
-        where = held
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quernel-"))
+        where = spark.sparkContext.getCheckpointDir()
     return where.rstrip("/")
 
 
-def _stashes(spark: SparkSession) -> str:
+def stash_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables and archives lie."""
     return f"{shared_dir(spark)}/quernel-{spark.sparkContext.applicationId}"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as Parquet into the shared folder and read it back (survives lost executors, keeps statistics)."""
     spark = df.sparkSession
-    path = f"{_stashes(spark)}/stash-{name}-{uuid.uuid4().hex}"
+    path = f"{stash_folder(spark)}/stash-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -60,7 +61,7 @@ def drop_stash(df: DataFrame) -> None:
 
 def release_stashes(spark: SparkSession) -> None:
     """Delete all stashes of this application; call it when no result of an operator is read any more."""
-    _delete(spark, _stashes(spark))
+    _delete(spark, stash_folder(spark))
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -68,9 +69,42 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def split_join(rows: DataFrame, groups: DataFrame, on: list[str], n: str = "n", how: str = "left", share: int = 100_000) -> DataFrame:
+    """rows joined to groups (stashed, one row a key, `n` rows of `rows` with it) on null-safe equality of `on`.
+
+    Small tables are broadcast. Else the groups that hold more than 1 / share of all rows, so at most `share` of them, are broadcast
+    and only the rest is shuffled: no key's rows meet in one task."""
+    same = lambda a, b: reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in on])
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        return left.join(right, same(left, right), how).drop(*[right[c] for c in on])
+
+    if groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return joined(rows, F.broadcast(groups.drop(n)), how)
+    many = F.col(n) > F.lit(max(1000, groups.agg(F.sum(n)).first()[0] // share))
+    hot = groups.where(many).drop(n)
+    rest = rows.join(F.broadcast(hot.select(*on)), same(rows, hot), "left_anti")
+    return joined(rows, F.broadcast(hot), "inner").unionByName(joined(rest, groups.where(~many).drop(n), how))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_key(text: Column) -> Column:
+    """Stands for a whole text where rows are told apart by content; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound the Arrow batches that Python workers get: texts can be long, and two workers share an executor's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if held <= 0 or held > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
