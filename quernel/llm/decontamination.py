@@ -3,14 +3,15 @@
 Words are runs of letters and digits of the lower-cased text; shingles are five words (fewer words: the whole sequence).
 Test items fall into power-of-two classes by their number of distinct shingles. A MinHash sketch of an item is the `k`
 smallest hashes of its shingles, with k set by the upper size of its class: a document that holds at least
-`threshold` of an item misses at most floor((1 - threshold) * upper) of its shingles, so one more than that can't all be missing
-(classes beyond MOST_PROBES take that many: the chance that all are missing is below 1e-13). A document is a
-candidate if any of its shingle hashes hits a sketch and it is large enough for the class; candidates are read again
-and verified by the exact containment of shingle texts.
+`threshold` of an item misses at most floor((1 - threshold) * upper) of its shingles, so one more than that can't all be missing,
+whatever the item's length. A document is a candidate if any of its shingle hashes hits a sketch and it is large enough for the
+class; candidates are read again and verified by the exact containment of shingle texts.
 
 Defined results: null, empty and wordless texts hold nothing and, as items, are never found; an item of fewer than five
-words is found only in a document with exactly those words; rows with a null doc_id or item_id are not reported;
-repeated ids are one document or item (the best match counts); extra columns are ignored; empty tables give no rows.
+words is found only in a document with exactly those words; rows with a null doc_id or item_id are not reported by `contaminated`;
+repeated ids are one document or item there (the best match counts). `remove_contaminated` judges rows by their text alone: a row
+with a null id goes if its text holds an item, rows that share an id with it stay if theirs doesn't, and an item with a null id counts. Extra columns are
+ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.llm.common import broadcast_if_small, let, stash, table
+from quernel.llm.common import broadcast_if_small, free_name, let, stash, table, text_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
-MOST_PROBES = 20
 
 
 def normal_words(text: Column) -> Column:
@@ -52,7 +52,7 @@ def sketches(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(h, item_id, least): the MinHash sketch of each item and the shingles a document needs at least for its class."""
     hashed = items.select("item_id", F.array_sort(F.array_distinct(shingle_hashes(F.col("text")))).alias("hs")).where(F.size("hs") > 0)
     upper = F.pow(F.lit(2.0), F.floor(F.log2(F.size("hs").cast("double"))) + 1) - 1
-    probes = F.least(F.lit(MOST_PROBES), (F.floor(F.round((1 - threshold) * upper, 9)) + 1).cast("int"))
+    probes = (F.floor(F.round((1 - threshold) * upper, 9)) + 1).cast("int")
     least = F.ceil(F.round(threshold * (upper + 1) / 2, 9))
     return hashed.select("item_id", least.alias("least"), F.explode(F.slice("hs", F.lit(1), probes)).alias("h"))
 
@@ -73,10 +73,13 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     return best.select("doc_id", "item_id", "m.n_item_shingles", "m.n_shared", "m.containment").where(F.col("containment") >= threshold)
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no test item, all columns unchanged."""
-    hit = stash(contaminated(docs, items, key, text).select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, docs[key] == hit["_hit"], "left_anti")
+def remove_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
+    """The rows whose text holds no test item, all columns unchanged."""
+    name = free_name(docs, "_text_key")
+    keyed = docs.withColumn(name, text_key(F.col(text)))
+    tests = items.select(text_key(F.col(item_text)).alias("item_id"), F.col(item_text).alias("text")).dropDuplicates(["item_id"])
+    hit = stash(contaminated(keyed, tests, name, text).select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
+    return keyed.join(broadcast_if_small(hit), keyed[name] == hit["_hit"], "left_anti").drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

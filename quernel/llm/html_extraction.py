@@ -8,10 +8,11 @@ Sum-product messages pass from the leaves to the root and back, exactly, and giv
 nodes whose marginal for main text is over one half is kept.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page order
-by one newline. Scripts, styles, the head, and the contents of form controls are never text.
+by one newline. Scripts, styles, the head, drawings, embedded media and the contents of form controls are never text.
 
 Defined results: a null, empty or textless page gives an empty text; broken markup is read as browsers do in the common
-cases (implied ends, stray ends, unclosed elements); repeated rows are extracted row by row; a null page_id is carried along; extra
+cases (implied ends, stray ends, unclosed elements). A head without an end tag ends at the first thing that can't stand in one; a
+script or style without one runs to the end of the page, and any other silent element without one ends at the next block; repeated rows are extracted row by row; a null page_id is carried along; extra
 columns are ignored; an empty table gives an empty result. Work and memory grow with the length of a page.
 """
 
@@ -33,7 +34,11 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^>]*)>|<[!?/][^>]*>|</?[a-zA-Z][^>]*\Z", re.S
 )
 #: Elements of HTML by what they mean for text.
-SILENT = frozenset("script style template noscript textarea select svg math iframe object video audio canvas title button head".split())
+#: RAW elements hold no markup; MUTED ones do, but none of their text counts; only HEAD_TAGS stand in a head; FOREIGN ones end at a block.
+RAW = frozenset("script style iframe textarea title".split())
+MUTED = frozenset("head template noscript select svg math object video audio canvas button".split())
+HEAD_TAGS = frozenset("head base link meta title script style noscript template".split())
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SECTIONS = frozenset("nav header footer aside form article main section dialog".split())
 BLOCKS = SECTIONS | frozenset(
@@ -90,9 +95,28 @@ class Page:
         self.parent, self.kind, self.cue, self.own, self.linked, self.dot, self.legal, self.label = [-1], [KINDS["root"]], [0], [0], [0], [0], [0], [-1]
         self.runs: list[list[tuple[int, str]]] = [[]]
         stack: list[tuple[str, int]] = [("", 0)]
-        node, links, at, size = 0, 0, 0, len(html)
+        node, links, muted, loose, at, size = 0, 0, 0, 0, 0, len(html)
         run = self.runs[0]
         search = TOKEN.search
+        last_end: dict[str, int] = {}
+
+        def cut(i: int) -> None:
+            """End the element at stack[i] and all inside it."""
+            nonlocal node, links, muted, loose
+            if links:
+                links -= sum(t == "a" for t, _ in stack[i:])
+            if muted:
+                muted -= sum(t.rstrip("?") in MUTED or t.endswith("?") for t, _ in stack[i:])
+                loose -= sum(t.endswith("?") for t, _ in stack[i:]) if loose else 0
+            del stack[i:]
+            node = stack[-1][1]
+
+        def closed(tag: str) -> bool:
+            """Whether an end tag of the kind is still to come."""
+            if tag not in last_end:
+                last_end[tag] = max((m.start() for m in re.finditer(rf"</{tag}[\s/>]", html, re.I)), default=-1)
+            return last_end[tag] >= at
+
         while at < size:
             m = search(html, at)
             if m is None:
@@ -100,14 +124,17 @@ class Page:
             else:
                 raw, at = html[at : m.start()], m.end()
             if raw and not raw.isspace():
-                run.append((node, raw))
-                n = len(raw)
-                self.own[node] += n
-                if links:
-                    self.linked[node] += n
-                self.dot[node] = 1 if raw.rstrip()[-1:] in ".!?…" else 0
-                if n < 300 and LEGAL.match(raw):
-                    self.legal[node] = 1
+                if muted and stack[-1][0] == "head":
+                    cut(len(stack) - 1)
+                if not muted:
+                    run.append((node, raw))
+                    n = len(raw)
+                    self.own[node] += n
+                    if links:
+                        self.linked[node] += n
+                    self.dot[node] = 1 if raw.rstrip()[-1:] in ".!?…" else 0
+                    if n < 300 and LEGAL.match(raw):
+                        self.legal[node] = 1
             elif raw:
                 run.append((node, " "))
             if m is None:
@@ -128,25 +155,50 @@ class Page:
             if closing:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == tag:
-                        links -= sum(t == "a" for t, _ in stack[i:]) if links else 0
-                        del stack[i:]
-                        node = stack[-1][1]
+                        cut(i)
                         break
-                    if block is False and stack[i][0] in BLOCKS:
+                    if block is False and stack[i][0] in BLOCKS and tag not in MUTED:
                         break  # a stray inline end doesn't leave its block
                 continue
-            if tag in SILENT:
-                if not attrs.endswith("/"):
-                    end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-                    at = end.end() if end else size
+            if muted and tag not in HEAD_TAGS:
+                i = next((i for i, (t, _) in enumerate(stack) if t == "head"), 0)
+                if i:
+                    cut(i)
+            if muted and block:
+                i = next((i for i, (t, _) in enumerate(stack) if t in FOREIGN or t.endswith("?")), 0)
+                if i and (stack[i][0].endswith("?") or not any(t == "foreignobject" for t, _ in stack[i:])):
+                    cut(i)
+            if tag in RAW and not attrs.endswith("/"):
+                if closed(tag):
+                    at = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at).end()
+                    continue
+                if tag in ("script", "style"):
+                    break
+            elif tag in VOID:
                 continue
-            if tag in VOID:
+            if tag in MUTED or tag in RAW:
+                if attrs.endswith("/"):
+                    continue
+                if tag == "button" and muted:  # a button ends the one before it
+                    i = next((i for i, (t, _) in enumerate(stack) if t == "button"), 0)
+                    if i:
+                        cut(i)
+                muted += 1
+                if tag == "head" or (tag in MUTED and closed(tag)):
+                    stack.append((tag, node))
+                else:
+                    loose += 1
+                    stack.append((tag + "?", node))
                 continue
             if block:
                 if tag in P_ENDERS:
-                    node, links = self._leave(stack, {"p"}, P_SCOPE, node, links)
+                    i = self._ended(stack, {"p"}, P_SCOPE)
+                    if i:
+                        cut(i)
                 if tag in ENDS:
-                    node, links = self._leave(stack, *ENDS[tag], node, links)
+                    i = self._ended(stack, *ENDS[tag])
+                    if i:
+                        cut(i)
             cue = _cue(attrs) if attrs else 0
             if block or 0 < cue < len(CUES):
                 self.parent.append(node)
@@ -164,8 +216,8 @@ class Page:
             stack.append((tag, node))
 
     @staticmethod
-    def _leave(stack, ended, scope, node: int, links: int) -> tuple[int, int]:
-        """End the outermost of `ended` above the nearest of `scope`."""
+    def _ended(stack, ended, scope) -> int:
+        """Where the outermost of `ended` above the nearest of `scope` stands, else 0."""
         lowest = 0
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in ended:
@@ -174,11 +226,7 @@ class Page:
                     break
             elif stack[i][0] in scope or (ended == {"p"} and stack[i][0] in BLOCKS):
                 break
-        if lowest:
-            links -= sum(t == "a" for t, _ in stack[lowest:]) if links else 0
-            del stack[lowest:]
-            node = stack[-1][1]
-        return node, links
+        return lowest
 
     def features(self) -> list[tuple[int, int, int]]:
         """(kind and cue; kind, length, links and sentence end; legal notice) of every node."""

@@ -1,15 +1,16 @@
 """Packing by power-of-two decomposition: no sequence crosses documents and none needs padding.
 
 A document's token ids are cut into as many full pieces as fit and then by the binary digits of what is left, longest piece
-first. Equal lengths form a bucket: every piece is a sequence of its own, 2^k long, so a training batch drawn from one bucket
-is rectangular without padding.
+first. Every piece is a sequence of its own, 2^k long, and equal lengths form bucket k. Within a task the sequences of a bucket are dealt to
+batches of `most` tokens, so every batch is rectangular without padding; the task's last batch of a bucket may hold fewer rows. Nothing is
+sorted or shuffled for that.
 
 Tokens: the tokenizer drops white space and never joins words across it, so the ids of a text are those of its
 white-space-separated words in order; workers keep a bounded table of words they have seen.
 
 Defined results: a null, empty or blank text is the end id alone (one piece of length 1); repeated rows are packed each on
-its own; a null doc_id is carried along; an empty table gives no pieces; extra columns are ignored. The strings of special tokens
-inside a text are ordinary text.
+its own; a null doc_id is carried along; an empty table gives no pieces; extra columns are ignored. The strings of the tokenizer's special tokens
+inside a text become their ids, as the tokenizer does it.
 """
 
 from __future__ import annotations
@@ -70,8 +71,6 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-
         self.model = self.tokenizer.model
         self.plain = plain_word_rule(self.tokenizer)
         self.marks: dict[bytes, bytes] = {}
@@ -121,10 +120,10 @@ def piece_lengths(n: int, most: int = MOST_TOKENS) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, key: str = "doc_id", text: str = "text", most: int = MOST_TOKENS, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids if asked for).
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, bucket, batch_id, sequence_id, offset (and ids if asked for).
 
-    A sequence_id holds the number of its Spark partition in its high bits, so a task that is run again gives the same
-    ids."""
+    bucket is the binary logarithm of the length. A sequence_id and a batch_id hold the number of their Spark partition in the high
+    bits, so a task that is run again gives the same ids."""
     if most & (most - 1):
         raise ValueError("the longest sequence must be a power of two")
     if tokenizer_path is None:
@@ -133,9 +132,13 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, key: str = "doc_id"
         tokenizer_path = public_tokenizers.path(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         words = word_ids(tokenizer_path)
+        first = TaskContext.get().partitionId() << 33
+        opened, room, now = 0, [0] * most.bit_length(), [0] * most.bit_length()
         for b in batches:
-            row, starts, lengths, crcs, totals, kept = [], [], [], [], [], []
+            row, starts, lengths, crcs, totals, kept, buckets, batch_ids = [], [], [], [], [], [], [], []
             for at, value in enumerate(b.column(1).to_pylist()):
                 view = memoryview(words.of(value or b""))
                 total, begin = len(view) // 4, 0
@@ -145,18 +148,25 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, key: str = "doc_id"
                     lengths.append(n)
                     crcs.append(zlib.crc32(view[4 * begin : 4 * (begin + n)]))
                     totals.append(total)
+                    k = n.bit_length() - 1
+                    if not room[k]:
+                        room[k], now[k] = most // n, first + opened
+                        opened += 1
+                    room[k] -= 1
+                    buckets.append(k)
+                    batch_ids.append(now[k])
                     if with_ids:
                         kept.append(np.frombuffer(view[4 * begin : 4 * (begin + n)], dtype="<u4"))
                     begin += n
-            columns = [b.column(0).take(pa.array(row, pa.int64())), *[pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals)]]
+            columns = [b.column(0).take(pa.array(row, pa.int64())), *[pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals)], pa.array(buckets, pa.int32()), pa.array(batch_ids, pa.int64())]
             if with_ids:
                 columns.append(pa.array(kept, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "bucket", "batch_id", *["ids"] * with_ids])
 
     small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
     pieces = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<bigint>" * with_ids
+        run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, bucket int, batch_id bigint" + ", ids array<bigint>" * with_ids
     )
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 

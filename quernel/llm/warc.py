@@ -5,7 +5,8 @@ Records are grouped into independent Zstandard frames; a bundle ends with a skip
 by decoding one frame. The index maps every record id to (bundle, frame, offset in the frame, length).
 
 Of records with equal payloads of at least `least_bytes`, that with the largest page_id is a response and the others are
-revisits that refer to it. Only digests and ids are shuffled to decide that. Tasks write their bundles straight into the shared folder under names
+revisits that refer to it. Digests and ids are shuffled to decide that; where the repeated digests are too many to broadcast, a bitmap of
+bounded size picks the rows that may be repeats, and only those are joined. Tasks write their bundles straight into the shared folder under names
 of their own attempt; the index names those of the attempts that counted, so a task that is run again leaves nothing
 wrong behind.
 
@@ -28,11 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernel.llm.common import broadcast_if_small, shared_dir, small_batches, stash, table
+from quernel.llm.common import BROADCAST_ROWS, small_batches, stash, stash_folder, table
 
 LEAST_BYTES = 1000
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 32 << 20
+#: Bits of the bitmap of repeated digests (sent as at most BITMAP / 64 rows).
+BITMAP = 1 << 25
+#: Most tasks that read archives.
+READERS = 20_000
 #: Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -145,15 +150,29 @@ def _page_of(urn: str | None) -> str | None:
     return urn.strip("<>").removeprefix("urn:page:") if urn and urn.startswith("<urn:page:") else None
 
 
-def write_archives(pages: DataFrame, folder: str, date: str | None = None, least_bytes: int = LEAST_BYTES, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+def with_keepers(rows: DataFrame, groups: DataFrame, most_broadcast: int = BROADCAST_ROWS) -> DataFrame:
+    """rows (digest and others) with the keeper of their digest from groups (digest, keeper; stashed), else null."""
+    if groups.limit(most_broadcast + 1).count() <= most_broadcast:
+        return rows.join(F.broadcast(groups), "digest", "left")
+    slot = lambda: F.pmod(F.xxhash64("digest"), F.lit(BITMAP))
+    bit = lambda: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot(), F.lit(64)).cast("int"))
+    words = stash(groups.groupBy(F.floor(slot() / 64).alias("_word")).agg(F.bit_or(bit()).alias("_bits")), "payload-bitmap")
+    marked = rows.withColumn("_word", F.floor(slot() / 64)).join(F.broadcast(words), "_word", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit()) != 0, F.lit(False))
+    repeats = marked.where(maybe).drop("_word", "_bits").join(groups, "digest", "left")
+    others = marked.where(~maybe).drop("_word", "_bits").withColumn("keeper", F.lit(None).cast(dict(groups.dtypes)["keeper"]))
+    return repeats.unionByName(others)
+
+
+def write_archives(pages: DataFrame, folder: str, date: str | None = None, least_bytes: int = LEAST_BYTES, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, most_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """Write a record per row of pages (page_id, url, html) into bundles below folder; return the index, stashed."""
     spark = pages.sparkSession
     date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     html = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"))
     sums = pages.select("page_id", F.sha1(html).alias("digest"), F.octet_length(html).alias("n")).where(F.col("n") >= least_bytes)
-    groups = sums.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keeper")).where("n > 1").drop("n")
-    rows = rows.join(broadcast_if_small(stash(groups, "payloads")), "digest", "left").select("page_id", "url", "html", "digest", "keeper")
+    groups = stash(sums.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keeper")).where("n > 1").drop("n"), "payloads")
+    rows = with_keepers(rows, groups, most_broadcast).select("page_id", "url", "html", "digest", "keeper")
     system, base = open_folder(folder)
     system.create_dir(base, recursive=True)
 
@@ -195,7 +214,7 @@ def write_archives(pages: DataFrame, folder: str, date: str | None = None, least
 
 
 def read_archives(spark: SparkSession, folder: str, bundles: DataFrame, kind: str = "bigint") -> DataFrame:
-    """Read every record of the named bundles (column bundle, one row each), frame by frame; digests are taken from the bytes read."""
+    """Read every record of the named bundles (column bundle, one row each, stashed), frame by frame, bundles in tasks of their own; digests are taken from the bytes read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
@@ -215,7 +234,8 @@ def read_archives(spark: SparkSession, folder: str, bundles: DataFrame, kind: st
                         kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
                         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=[*names, "bundle", "frame", "frame_offset"])
 
-    read = bundles.select("bundle").mapInArrow(run, READ_SCHEMA.format(kind="string"))
+    tasks = min(READERS, max(1, bundles.count()))
+    read = bundles.select("bundle").repartition(tasks).mapInArrow(run, READ_SCHEMA.format(kind="string"))
     return read.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
@@ -229,10 +249,10 @@ def read_record(folder: str, entry) -> tuple[dict[str, str], bytes]:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = f"{stash_folder(spark)}/warc-{uuid.uuid4().hex}"
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     index = write_archives(pages, folder)
-    records = read_archives(spark, folder, index.select("bundle").distinct(), dict(pages.dtypes)["page_id"])
+    records = read_archives(spark, folder, stash(index.select("bundle").distinct(), "bundles"), dict(pages.dtypes)["page_id"])
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -47,6 +47,63 @@ def test_other_designs(html, want):
     assert html_extraction.default_model().extract(html) == want
 
 
+BODY = "<article><h1>A real title</h1><p>These are the words of the article, and there are enough.</p>{}<p>They go on in a second paragraph here.</p></article>"
+SAID = "A real title\nThese are the words of the article, and there are enough.\nThey go on in a second paragraph here."
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>T</title><meta charset=utf-8><body>" + BODY.format("") + "</body></html>",
+        "<html><head><title>T</title>" + BODY.format(""),
+        "<head><script>var x = '</head>';</script><noscript><style>p{}</style>Turn it on</noscript>" + BODY.format(""),
+        "<body>" + BODY.format("<button>Press"),
+        "<body>" + BODY.format("<button><span>One</span></button><button>Two"),
+        "<body>" + BODY.format("<button><div>Deep</div> press</button>"),
+        "<body>" + BODY.format("<noscript>Please turn on scripts"),
+        "<body>" + BODY.format("<svg><g><svg><text>inner</text></svg><text>outer</text></g></svg>"),
+        "<body>" + BODY.format("<svg><text>never closed"),
+        "<body>" + BODY.format("<select><option>a<option>b</select>"),
+        "<body>" + BODY.format("<select><option>a<option>b"),
+        "<body>" + BODY.format("<object><p>No plugin.</p></object><video><p>No video.</p></video><canvas>No canvas</canvas>"),
+        "<body>" + BODY.format("<template><p>Not shown</p><template>x</template></template><textarea><p>typed</textarea><iframe><p>x</iframe>"),
+        "<body>" + BODY.format('<script>if (a < b) { document.write("<p>no</p>") }</script><style>x > y {}</style>'),
+        "<body>" + BODY.format("") + "<script>never closed <p>no text",
+    ],
+)
+def test_silent_elements(html):
+    assert html_extraction.default_model().extract(html) == SAID
+
+
+#: Pages written by hand, not by the generator of the training pages: (html, main text).
+HAND_PAGES = [
+    (
+        '<!doctype html><html lang=en><head><meta charset=utf-8><title>Tides - Harbour Weekly</title><link rel=stylesheet href=a.css><body class="single"><div id="page"><div class="topbar"><a href="/login">Log in</a> <a href="/subscribe">Subscribe</a></div>'
+        '<header class="site-header"><a class="logo" href="/">Harbour Weekly</a><nav class="main-nav"><a href="/n">News</a> <a href="/s">Sport</a></nav></header><div class="row"><div class="col-8"><h1 class="entry-title">Why the tides were late</h1>'
+        '<div class="entry-content"><p>The harbour master says the tide tables were printed a day late this year.</p><p>Nobody noticed until the ferry ran aground &mdash; twice &mdash; in one week.</p><h2>What happens next</h2><ul><li>New tables will be printed.</li><li>The ferry has been moved.</li></ul>'
+        '<div class="ad-slot">Advertisement</div><p>The council meets again on Friday to discuss the matter.</p></div><div class="share-buttons"><a href="#">Share</a> <a href="#">Tweet</a></div></div>'
+        '<div class="sidebar col-4"><h3>Most read</h3><ul><li><a href="/1">Cat found in chimney</a></li><li><a href="/2">Bridge painted again</a></li></ul></div></div>'
+        '<div id="comments"><h3>2 comments</h3><div class="comment"><p>I was on that ferry and it was no fun.</p></div></div><footer class="site-footer"><p>Copyright 2021 Harbour Weekly. <a href="/privacy">Privacy</a></p></footer></div></body></html>',
+        "Why the tides were late\nThe harbour master says the tide tables were printed a day late this year.\nNobody noticed until the ferry ran aground — twice — in one week.\nWhat happens next\nNew tables will be printed.\nThe ferry has been moved.\nThe council meets again on Friday to discuss the matter.",
+    ),
+    (
+        "<html><head><title>notes</title></head><body><nav><ul><li><a href=/>index</a><li><a href=/about>about</a></ul></nav><main><h1>Building a small boat</h1><p>It took three winters to build the boat in the shed behind the house.<p>The plans came from a library book that was never returned."
+        "<pre>length 4.2 m\nbeam   1.6 m</pre><blockquote><p>A boat is a hole in the water, my uncle said.</p></blockquote><table><tr><th>part<th>wood</tr><tr><td>keel<td>oak</tr></table></main><aside><p>About the author: she lives by the sea.</p></aside><footer><small>&copy; 2019</small></footer></body></html>",
+        "Building a small boat\nIt took three winters to build the boat in the shed behind the house.\nThe plans came from a library book that was never returned.\nlength 4.2 m beam 1.6 m\nA boat is a hole in the water, my uncle said.\npart\nwood\nkeel\noak",
+    ),
+    (
+        '<body><div class="cookie-banner" role="dialog"><p>We value your privacy. Accept all cookies?</p><button>Accept</button></div><div id="nav"><a href=a>Start</a> | <a href=b>Archive</a></div><article class="post"><h2>Second hand bicycles</h2><p class="lead">Buying a used bicycle is easy if you look at three things first.</p>'
+        '<p>Look at the frame, the wheels and the chain, in this order.</p><form action="/newsletter"><label>Get our newsletter</label><input name=m><button>Go</button></form><p>If all three are fine, pay and ride home.</p></article><section class="related-posts"><h3>You may also like</h3><ul><li><a href=c>New tyres</a></li></ul></section></body>',
+        "Second hand bicycles\nBuying a used bicycle is easy if you look at three things first.\nLook at the frame, the wheels and the chain, in this order.\nIf all three are fine, pay and ride home.",
+    ),
+]
+
+
+@pytest.mark.parametrize("html,want", HAND_PAGES)
+def test_hand_written_pages(html, want):
+    assert html_extraction.default_model().extract(html) == want
+
+
 def test_messages_give_exact_marginals():
     model = html_extraction.default_model()
     page = html_extraction.Page('<body><nav><a href=1>x</a></nav><div><p>Words here.</p><div class="ad">y</div></div><footer>z</footer></body>')
@@ -88,10 +145,11 @@ def pages_frame(spark):
     return rows, spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash")).withColumn("keeper", F.lit(1))
 
 
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("most", [warc.BROADCAST_ROWS, 0])
+def test_warc_round_trip(spark, most):
     rows, df = pages_frame(spark)
-    folder = f"{shared_dir(spark)}/warc-test"
-    index = warc.write_archives(df, folder, frame_bytes=4000, bundle_bytes=1500)
+    folder = f"{shared_dir(spark)}/warc-test-{most}"
+    index = warc.write_archives(df, folder, frame_bytes=4000, bundle_bytes=1500, most_broadcast=most)
     entries = index.collect()
     assert len(entries) == len(rows) and len({e["record_id"] for e in entries}) == len({r[0] for r in rows}) and len({e["bundle"] for e in entries}) > 1
     want = sorted(

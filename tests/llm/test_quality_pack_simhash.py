@@ -153,7 +153,7 @@ def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
     tk = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    texts = [*texts, "É́ ́x ÅΣΑΣ don't THE'S e.g., it's 's x\x85y İ ß ﬁ ① 你好", "word " * 5000]
+    texts = [*texts, "É́ ́x ÅΣΑΣ don't THE'S e.g., it's 's x\x85y İ ß ﬁ ① 你好", "word " * 5000, "an <|endoftext|> inside<|startoftext|>words <|ENDOFTEXT|>"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("ids", F.lit(0)).withColumn("start", F.lit("x"))
     rows = packing.pack(df, with_ids=True).collect()
     by = collections.defaultdict(list)
@@ -167,6 +167,11 @@ def test_packing_round_trip(spark, texts):
         for p in pieces:
             part = ids[p["start"] : p["start"] + p["length"]]
             assert p["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(part)}I", *part)) and p["doc_tokens"] == len(ids) and p["offset"] == 0 and p["length"] & (p["length"] - 1) == 0
+    lengths = collections.defaultdict(list)
+    for x in rows:
+        assert x["length"] == 1 << x["bucket"]
+        lengths[x["batch_id"]].append(x["length"])
+    assert all(len(set(v)) == 1 and sum(v) <= packing.MOST_TOKENS for v in lengths.values()) and max(map(len, lengths.values())) > 1
     assert packing.pack(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         packing.pack(df, most=1000)
