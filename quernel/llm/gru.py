@@ -6,6 +6,8 @@ class times that of the leaf among the class's members, both from the state afte
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 HIDDEN, EMBED = 32, 24
@@ -31,10 +33,6 @@ def new_params(inputs: int, leaf_counts: np.ndarray, seed: int = 5) -> Params:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * (np.tanh(np.float32(0.5) * x) + np.float32(1))
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(-1, keepdims=True)
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
@@ -70,30 +68,59 @@ def leaf_log_probs(p: Params, states: np.ndarray, leaves: np.ndarray) -> np.ndar
     return out
 
 
-def _gradients(p: Params, ids: np.ndarray, leaves: np.ndarray, h: np.ndarray) -> tuple[Params, np.ndarray, float]:
-    """ids, leaves: (steps, lanes) inputs and targets; h: the state carried in. Gradients of the mean loss, the state out and the loss."""
+def _summed_rows(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """(n, width): the sum of the values of each row number."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if len(rows):
+        order = np.argsort(rows, kind="stable")
+        found = rows[order]
+        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        out[found[starts]] = np.add.reduceat(values[order], starts, axis=0)
+    return out
+
+
+def _gradients(p: Params, ids: np.ndarray, leaves: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None, valid: np.ndarray | None = None) -> tuple[Params, np.ndarray, float]:
+    """ids, leaves: (steps, lanes) inputs and targets; h: the state carried in; fresh: where a text begins (the state is zero there);
+    valid: which places hold a token. Gradients of the mean loss over tokens, the state out and the loss."""
     steps, lanes = ids.shape
-    x = (p["E"][ids.ravel()] @ p["W"] + p["b"]).reshape(steps, lanes, -1)
-    before, z, r, c, part = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(5))
-    states = np.empty((steps, lanes, HIDDEN), np.float32)
-    H = HIDDEN
+    H, kind = HIDDEN, p["U"].dtype
+    table = p["E"] @ p["W"] + p["b"]
+    x = table[ids]
+    before, z, r, c, part, states = (np.empty((steps, lanes, H), kind) for _ in range(6))
+    half, one = kind.type(0.5), kind.type(1)
+    begins = fresh.any(1) if fresh is not None else np.zeros(steps, bool)
     for t in range(steps):
+        if begins[t]:
+            h = np.where(fresh[t][:, None], kind.type(0), h)
         before[t] = h
         hu = h @ p["U"]
-        gates = _sigmoid(x[t, :, : 2 * H] + hu[:, : 2 * H])
+        gates = x[t, :, : 2 * H] + hu[:, : 2 * H]
+        gates *= half
+        np.tanh(gates, out=gates)
+        gates += one
+        gates *= half
         z[t], r[t], part[t] = gates[:, :H], gates[:, H:], hu[:, 2 * H :]
-        c[t] = np.tanh(x[t, :, 2 * H :] + r[t] * part[t])
-        h = c[t] + z[t] * (h - c[t])
+        np.multiply(r[t], part[t], out=c[t])
+        c[t] += x[t, :, 2 * H :]
+        np.tanh(c[t], out=c[t])
+        h = h - c[t]
+        h *= z[t]
+        h += c[t]
         states[t] = h
+    there = None if valid is None or valid.all() else np.flatnonzero(valid.ravel())
     flat, target = states.reshape(-1, H), leaves.ravel()
+    if there is not None:
+        flat, target = flat[there], target[there]
     n = len(target)
-    g: Params = {k: np.zeros_like(v) for k, v in p.items()}
+    g: Params = {}
     top = _log_softmax(flat @ p["Wc"] + p["bc"])
-    loss = -float(top[np.arange(n), target // MEMBERS].sum())
+    at = np.arange(n), target // MEMBERS
+    loss = -float(top[at].sum())
     d = np.exp(top)
-    d[np.arange(n), target // MEMBERS] -= 1
+    d[at] -= 1
     g["Wc"], g["bc"] = flat.T @ d, d.sum(0)
     ds = d @ p["Wc"].T
+    g["Wm"], g["bm"] = np.zeros_like(p["Wm"]), np.zeros_like(p["bm"])
     for k, rows in _by_class(target):
         own = flat[rows]
         low = _log_softmax(own @ p["Wm"][k] + p["bm"][k])
@@ -103,50 +130,98 @@ def _gradients(p: Params, ids: np.ndarray, leaves: np.ndarray, h: np.ndarray) ->
         e[at] -= 1
         g["Wm"][k], g["bm"][k] = own.T @ e, e.sum(0)
         ds[rows] += e @ p["Wm"][k].T
+    if there is not None:
+        whole = np.zeros((steps * lanes, H), kind)
+        whole[there] = ds
+        ds = whole
     ds = ds.reshape(steps, lanes, H)
-    dx = np.empty_like(x)
-    carry = np.zeros((lanes, H), np.float32)
+    # what does not depend on the error is made for all steps at once
+    for_c, for_z = (one - z) * (one - c * c), (before - c) * z * (one - z)
+    for_r = part * r * (one - r)
+    dx, du = np.empty((steps, lanes, 3 * H), kind), np.empty((steps, lanes, 3 * H), kind)
+    back = np.ascontiguousarray(p["U"].T)
+    carry = np.zeros((lanes, H), kind)
     for t in range(steps - 1, -1, -1):
         dh = ds[t] + carry
-        dc = dh * (1 - z[t]) * (1 - c[t] ** 2)
-        dz = dh * (before[t] - c[t]) * z[t] * (1 - z[t])
-        dr = dc * part[t] * r[t] * (1 - r[t])
-        dx[t] = np.concatenate((dz, dr, dc), 1)
-        du = np.concatenate((dz, dr, dc * r[t]), 1)
-        g["U"] += before[t].T @ du
-        carry = dh * z[t] + du @ p["U"].T
-    dx = dx.reshape(n, -1)
-    rows = ids.ravel()
-    g["W"], g["b"] = p["E"][rows].T @ dx, dx.sum(0)
-    np.add.at(g["E"], rows, dx @ p["W"].T)
-    return {k: v / np.float32(n) for k, v in g.items()}, h, loss / n
-
-
-def train(p: Params, inputs: np.ndarray, targets: np.ndarray, rate: float = 4e-3, epochs: int = 2, lanes: int = 64, seed: int = 3) -> tuple[Params, float]:
-    """Adam over windows (n, length) of inputs and targets; within a window the state is carried from span to span."""
+        dc = dh * for_c[t]
+        np.multiply(dh, for_z[t], out=du[t, :, :H])
+        np.multiply(dc, for_r[t], out=du[t, :, H : 2 * H])
+        np.multiply(dc, r[t], out=du[t, :, 2 * H :])
+        dx[t, :, 2 * H :] = dc
+        carry = du[t] @ back
+        dh *= z[t]
+        carry += dh
+        if begins[t]:
+            carry[fresh[t]] = 0
+    dx[:, :, : 2 * H] = du[:, :, : 2 * H]
+    g["U"] = before.reshape(-1, H).T @ du.reshape(-1, 3 * H)
+    by_row = _summed_rows(ids.ravel(), dx.reshape(-1, 3 * H), len(table))
+    g["E"], g["W"], g["b"] = by_row @ p["W"].T, p["E"].T @ by_row, by_row.sum(0)
+    return {k: v / kind.type(max(n, 1)) for k, v in g.items()}, h, loss / max(n, 1)
+
+
+def deal(sizes: np.ndarray, most_lanes: int) -> list[list[int]]:
+    """Documents dealt to lanes, the longest first and always to the shortest lane; lanes in descending length."""
+    lanes = int(np.clip(sizes.sum() // max(1, sizes.max()), 1, most_lanes))
+    load, taken = np.zeros(lanes, dtype=np.int64), [[] for _ in range(lanes)]
+    for i in np.argsort(-sizes, kind="stable"):
+        k = int(load.argmin())
+        taken[k].append(int(i))
+        load[k] += sizes[i]
+    return [taken[k] for k in np.argsort(-load, kind="stable") if taken[k]]
+
+
+def spans(documents: list[tuple[np.ndarray, np.ndarray]], lanes: list[list[int]], span: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ids, leaves, fresh, valid), each (steps, live lanes), of span after span; lanes drop out as they end."""
+    rows = [tuple(np.concatenate([documents[i][part] for i in lane]) for part in (0, 1)) for lane in lanes]
+    length = np.array([len(x) for x, _ in rows])
+    begins = []
+    for lane in lanes:
+        sizes = [len(documents[i][0]) for i in lane]
+        f = np.zeros(sum(sizes), dtype=bool)
+        f[np.cumsum([0, *sizes[:-1]])] = True
+        begins.append(f)
+    for begin in range(0, int(length.max()), span):
+        live = int((length > begin).sum())
+        n = np.minimum(length[:live] - begin, span)
+        steps = int(n[0])
+        ids, leaves = (np.zeros((steps, live), np.int32) for _ in range(2))
+        fresh = np.zeros((steps, live), bool)
+        for j in range(live):
+            ids[: n[j], j], leaves[: n[j], j] = rows[j][0][begin : begin + n[j]], rows[j][1][begin : begin + n[j]]
+            fresh[: n[j], j] = begins[j][begin : begin + n[j]]
+        yield ids, leaves, fresh, np.arange(steps)[:, None] < n[None, :]
+
+
+def train(p: Params, documents: list[tuple[np.ndarray, np.ndarray]], rate: float = 4e-3, epochs: int = 2, lanes: int = 64, seed: int = 3) -> tuple[Params, float]:
+    """Adam over whole documents (inputs, leaves) side by side in lanes; the state is carried from span to span and starts anew with
+    each document; only tokens are learned. Returns the mean loss of the last round too."""
+    documents = [d for d in documents if len(d[0])]
     p = {k: v.copy() for k, v in p.items()}
+    if not documents:
+        return p, 0.0
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    r, at, last = np.random.RandomState(seed), 0, 0.0
-    n, length = inputs.shape
-    rounds = max(1, epochs * -(-n // lanes) * -(-length // SPAN))
+    r, at, losses = np.random.RandomState(seed), 0, []
+    sizes = np.array([len(x) for x, _ in documents], dtype=np.int64)
+    dealt = deal(sizes, lanes)
+    rounds = max(1, epochs * -(-int(sizes[dealt[0]].sum()) // SPAN))
     for _ in range(epochs):
-        order = r.permutation(n)
-        for lo in range(0, n, lanes):
-            rows = order[lo : lo + lanes]
-            h, losses = np.zeros((len(rows), HIDDEN), np.float32), []
-            for begin in range(0, length, SPAN):
-                g, h, loss = _gradients(p, inputs[rows, begin : begin + SPAN].T, targets[rows, begin : begin + SPAN].T, h)
-                losses.append(loss)
-                at += 1
-                size = np.sqrt(sum(float((x**2).sum()) for x in g.values()))
-                scale, step = min(1.0, 1.0 / max(size, 1e-9)), rate * (1 - 0.9 * at / rounds)
-                for k, x in g.items():
-                    x = x * np.float32(scale)
-                    m[k] += np.float32(0.1) * (x - m[k])
-                    v[k] += np.float32(0.01) * (x * x - v[k])
-                    p[k] -= np.float32(step / (1 - 0.9**at)) * m[k] / (np.sqrt(v[k] / np.float32(1 - 0.99**at)) + np.float32(1e-8))
-            last = float(np.mean(losses))
-    return p, last
+        h, losses = np.zeros((len(dealt), HIDDEN), np.float32), []
+        for lane in dealt:
+            r.shuffle(lane)
+        for ids, leaves, fresh, valid in spans(documents, dealt, SPAN):
+            g, h, loss = _gradients(p, ids, leaves, h[: ids.shape[1]], fresh, valid)
+            losses.append((loss, int(valid.sum())))
+            at += 1
+            size = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+            scale, step = min(1.0, 1.0 / max(size, 1e-9)), rate * (1 - 0.9 * at / rounds)
+            for k, x in g.items():
+                x *= np.float32(scale)
+                m[k] += np.float32(0.1) * (x - m[k])
+                x *= x
+                v[k] += np.float32(0.01) * (x - v[k])
+                p[k] -= np.float32(step / (1 - 0.9**at)) * m[k] / (np.sqrt(v[k] / np.float32(1 - 0.99**at)) + np.float32(1e-8))
+    return p, sum(a * b for a, b in losses) / sum(b for _, b in losses)
 
 
 class Scorer:
@@ -162,42 +237,24 @@ class Scorer:
         out = np.zeros(len(documents))
         if not len(documents) or not sizes.sum():
             return out
-        lanes = int(np.clip(sizes.sum() // sizes.max(), 1, most_lanes))
-        load, taken = np.zeros(lanes, dtype=np.int64), [[] for _ in range(lanes)]
-        for i in np.argsort(-sizes, kind="stable"):
-            k = int(load.argmin())
-            taken[k].append(int(i))
-            load[k] += sizes[i]
-        order = np.argsort(-load, kind="stable")
-        ids = [np.concatenate([documents[i][0] for i in taken[k]]) for k in order if taken[k]]
-        leaf = [np.concatenate([documents[i][1] for i in taken[k]]) for k in order if taken[k]]
-        owner = [np.repeat(taken[k], sizes[taken[k]]) for k in order if taken[k]]
-        fresh = []
-        for k in order:
-            if taken[k]:
-                f = np.zeros(load[k], dtype=bool)
-                f[np.cumsum([0, *sizes[taken[k]][:-1]])] = True
-                fresh.append(f)
-        length = np.array([len(x) for x in ids])
+        lanes = deal(sizes, most_lanes)
+        owners = [np.repeat(lane, sizes[lane]) for lane in lanes]
         H, U = HIDDEN, self.p["U"]
-        h = np.zeros((len(ids), H), np.float32)
-        for begin in range(0, int(length[0]), window):
-            live = int((length > begin).sum())
+        h, begin = np.zeros((len(lanes), H), np.float32), 0
+        for ids, leaves, first, there in spans(documents, lanes, window):
+            steps, live = ids.shape
             h = h[:live]
-            n = np.minimum(length[:live] - begin, window)
-            steps = int(n[0])
-            x_ids, first = np.zeros((steps, live), np.int32), np.zeros((steps, live), bool)
-            for j in range(live):
-                x_ids[: n[j], j] = ids[j][begin : begin + n[j]]
-                first[: n[j], j] = fresh[j][begin : begin + n[j]]
-            x = self.table[x_ids]
+            x = self.table[ids]
             states = np.empty((steps, live, H), np.float32)
             some = first.any(1)
             for t in range(steps):
                 if some[t]:
                     h = np.where(first[t][:, None], np.float32(0), h)
                 hu = h @ U
-                gates = np.tanh((x[t, :, : 2 * H] + hu[:, : 2 * H]) * np.float32(0.5))
+                gates = x[t, :, : 2 * H]
+                gates += hu[:, : 2 * H]
+                gates *= np.float32(0.5)
+                np.tanh(gates, out=gates)
                 gates += np.float32(1)
                 gates *= np.float32(0.5)
                 hu = hu[:, 2 * H :]
@@ -207,8 +264,10 @@ class Scorer:
                 h = (h - hu) * gates[:, :H]
                 h += hu
                 states[t] = h
-            there = np.arange(steps)[None, :] < n[:, None]
-            flat = states.transpose(1, 0, 2)[there]
-            logs = leaf_log_probs(self.p, flat, np.concatenate([leaf[j][begin : begin + n[j]] for j in range(live)]))
-            out += np.bincount(np.concatenate([owner[j][begin : begin + n[j]] for j in range(live)]), weights=logs, minlength=len(documents))
+            held = there.T
+            flat = states.transpose(1, 0, 2)[held]
+            logs = leaf_log_probs(self.p, flat, leaves.T[held])
+            owner = np.concatenate([owners[j][begin : begin + steps] for j in range(live)])
+            out += np.bincount(owner, weights=logs, minlength=len(documents))
+            begin += window
         return out

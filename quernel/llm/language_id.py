@@ -8,8 +8,9 @@ tree, the contexts form an automaton (the longest context that ends here), and w
 lookups, every byte of them. The language with the shortest exact code wins; `score` is its posterior probability.
 
 Learning: the statistics come from at most about DOCS_PER_LANGUAGE training documents of each language (a hash of the id
-picks them; the bound is this parameter), counted on the executors; the CONTEXTS most frequent (context, byte)
-pairs of a language are kept (fewer with many languages: DRIVER_ROWS and CELLS bound the driver's rows and the workers' table).
+picks them; the bound is this parameter), counted on the executors. Every language value is learned. All single bytes and the most frequent
+longer (context, byte) pairs of a language are kept, at most CONTEXTS of them; those that tie at the limit go. DRIVER_ROWS and CELLS, the
+driver's rows and the workers' table, are shared by all languages, so with more than ten or so the trees have fewer contexts each.
 
 Defined results: a null text or one without a letter is `und` with score 0; so is any text when nothing could be
 learned; ties go to the language that sorts first; documents with a null lang are not learned from, a null id counts as
@@ -26,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.llm.common import drop_stash, small_batches, stash, table
+from quernel.llm.common import broadcast_if_small, drop_stash, small_batches, stash, table
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 1500
 CONTEXTS = 60_000
-LANGUAGES = 256
 #: Numbers (4 bytes each) in the table of code lengths, and rows that the driver reads of all languages together.
 CELLS = 48_000_000
 DRIVER_ROWS = 600_000
@@ -159,24 +159,33 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
 def learn(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, contexts: int = CONTEXTS, order: int = ORDER) -> ContextTrees | None:
     """Trees from documents (doc_id, text, lang) that are not held out; None if there are none."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not sizes:
+    share = F.least(F.lit(1.0), per_language / F.col("k")) * (1 << 20)
+    shares = stash(known.groupBy("lang").agg(F.count(F.lit(1)).alias("k")).select("lang", share.cast("long").alias("share")), "languages")
+    languages = shares.count()
+    if not languages:
         return None
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 20))
-    picked = F.lit(False)
-    for lang, n in sizes.items():
-        picked = picked | ((F.col("lang") == lang) & (draw < int(min(1.0, per_language / n) * (1 << 20))))
-    grams = stash(count_grams(known.where(picked).select("lang", F.col("text").cast("binary").alias("text")), order), "grams")
+    picked = known.select("lang", F.col("text").cast("binary").alias("text"), draw.alias("draw")).join(broadcast_if_small(shares), "lang").where("draw < share")
+    grams = stash(count_grams(picked, order), "grams")
+    top = grams.join(broadcast_if_small(least_counts(grams, min(contexts, max(256, DRIVER_ROWS // languages)))), "lang").where((F.octet_length("gram") == 1) | (F.col("n") >= F.col("least")))
+    got = top.select("lang", "gram", "n").toArrow()
     trees: dict[str, dict[bytes, int]] = {}
-    contexts = min(contexts, DRIVER_ROWS // len(sizes))
-    for lang in sizes:
-        top = grams.where(F.col("lang") == lang).orderBy(F.octet_length("gram") > 1, F.desc("n"), "gram").limit(contexts).collect()
-        if top:
-            trees[lang] = {bytes(r["gram"]): r["n"] for r in top}
+    for lang, gram, n in zip(got.column("lang").to_pylist(), got.column("gram").to_pylist(), got.column("n").to_pylist(), strict=True):
+        trees.setdefault(lang, {})[gram] = n
     drop_stash(grams)
     return ContextTrees(trees, order) if trees else None
 
 
+def least_counts(grams: DataFrame, most: int) -> DataFrame:
+    """(lang, least): the least count with at most `most` longer grams of the language at or above it, from how often each count occurs."""
+    per = grams.where(F.octet_length("gram") > 1).groupBy("lang", "n").agg(F.count(F.lit(1)).alias("k"))
+    above = per.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus"), "k"))).alias("steps"))
+    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit((1 << 62)).cast("long").alias("least"))
+    walked = F.aggregate("steps", start, lambda a, x: F.struct((a["held"] + x["k"]).alias("held"), F.when(a["held"] + x["k"] <= most, -x["minus"]).otherwise(a["least"]).alias("least")))
+    every = grams.select("lang").distinct()
+    return stash(every.join(above.select("lang", walked["least"].alias("least")), "lang", "left").select("lang", F.coalesce("least", F.lit(0)).alias("least")), "least-counts")
+
+
 def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score); only the text decides."""
     kind = dict(docs.dtypes)[key]

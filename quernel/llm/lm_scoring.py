@@ -10,9 +10,10 @@ gives P(class | history) * P(leaf | class, history), and within a shared leaf a
 (c + 0.5) / (n + 0.5 (v + 1)) of the leaf's training tokens n and distinct words v, an unseen word the share of c = 0, so the
 probabilities of all words and one unseen word per leaf add up to one.
 
-Training: a driver-side start on about START_WINDOWS windows of WINDOW tokens (the bound is this parameter), then one round over
-every training document of the corpus in which every task trains its own copy and the copies are averaged, weighted by their windows; errors are carried back over spans inside a window, the state over the whole window. Scoring
-carries the state through the complete document.
+Training: a driver-side start on pieces of about START_TOKENS tokens in all (the bound is this parameter), then one round over
+every training document of the corpus in which every task trains its own copy and the copies are averaged, weighted by their tokens. Errors are
+carried back over spans of a piece, the state through the whole piece (documents are cut at PIECE tokens for training only); nothing is
+padded. Scoring carries the state through the complete document.
 
 Defined results: a null or blank text is the end alone; a null doc_id counts as training; repeated rows are scored and
 counted row by row; extra columns are ignored; an empty table gives an empty result; if nothing can be learned the score is the
@@ -21,6 +22,7 @@ base score.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -33,9 +35,15 @@ from quernel.llm import gru
 from quernel.llm.common import small_batches, stash, table
 
 MOST_FREQUENT = 300_000
-WORD_BYTES = 64
-WINDOW = 256
-START_WINDOWS = 4000
+#: Bytes of the words that go to the workers.
+VOCABULARY_BYTES = 32 << 20
+PIECE = 1024
+START_TOKENS = 1_000_000
+#: Tokens a training task takes at a time, its lanes, numbers in a piece of a summed vector and tasks that sum a piece.
+TRAIN_TOKENS = 1 << 20
+TRAIN_LANES = 256
+TRAIN_RATE = 2e-3
+SUM_PIECE, SUM_TASKS = 4096, 8
 OWN_INPUTS = 2048
 OWN_LEAVES = gru.LEAVES // 2
 #: Codes of the last two bytes of a word.
@@ -172,6 +180,14 @@ class Leaves:
     def leaves(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids >= 0, self.of_id[np.maximum(ids, 0)], self.of_code[np.minimum(-1 - ids, 65535) * (ids < 0)])
 
+    def described(self, documents: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(input rows, leaves) of each document's ids."""
+        if not documents:
+            return []
+        whole = self.leaves(np.concatenate(documents)).astype(np.int32)
+        of = np.split(whole, np.cumsum([len(x) for x in documents])[:-1])
+        return [(self.input_rows(ids, leaf), leaf) for ids, leaf in zip(documents, of, strict=True)]
+
     def input_rows(self, ids: np.ndarray, leaves: np.ndarray) -> np.ndarray:
         """The input before each token: the row of the token before it, at first the end's."""
         rows = np.where((ids >= 0) & (ids < self.own_inputs), ids, np.where(ids == self.end, OWN_INPUTS + gru.LEAVES, OWN_INPUTS + leaves)).astype(np.int32)
@@ -181,17 +197,13 @@ class Leaves:
         return out
 
 
-def _windows(ids: np.ndarray, end: int) -> np.ndarray:
-    n = -(-len(ids) // WINDOW)
-    out = np.full(n * WINDOW, end, dtype=np.int32)
-    out[: len(ids)] = ids
-    return out.reshape(n, WINDOW)
+def _pieces(ids: np.ndarray) -> list[np.ndarray]:
+    return [ids[at : at + PIECE] for at in range(0, len(ids), PIECE)]
 
 
-def _drawn(windows: np.ndarray, share: float, salt: int) -> np.ndarray:
-    """A share of the windows, drawn by a hash of what they hold (the same again in every attempt of a task)."""
-    mixed = (windows.astype(np.int64) * (np.arange(WINDOW) * 2 + 1 + salt)).sum(1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return windows[(mixed >> np.uint64(40)).astype(np.float64) < share * (1 << 24)]
+def _drawn(pieces: list[np.ndarray], share: float) -> list[np.ndarray]:
+    """A share of the pieces, drawn by a hash of what they hold (the same again in every attempt of a task)."""
+    return [x for x in pieces if zlib.crc32(x.tobytes()) < share * (1 << 32)]
 
 
 class Model:
@@ -254,12 +266,6 @@ def followers(training: DataFrame, words_sent, leaves: Leaves) -> np.ndarray:
     return _summed(training, words_sent, gru.LEAVES**2, add).reshape(gru.LEAVES, gru.LEAVES)
 
 
-def _drawn_documents(rows: DataFrame, share: float, salt: int) -> DataFrame:
-    """A share of the documents, drawn by a hash of id and length: only these need to be encoded."""
-    draw = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.octet_length("text")), F.lit(1 << 24))
-    return rows.where(draw < int(share * (1 << 24)))
-
-
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
@@ -272,15 +278,16 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     documents = training.count()
     n_tokens, n_distinct = total["n"] + documents, total["v"] + (documents > 0)
-    # the least count with at most MOST_FREQUENT words at or above it: steps of a sixteenth of a power of two bound it
-    steps = counts.where(F.octet_length("word") <= WORD_BYTES).groupBy(F.floor(F.log2(F.col("c").cast("double")) * 16).alias("step")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("step")).collect()
-    least, held = None, 0
+    # the least count with at most MOST_FREQUENT words and VOCABULARY_BYTES at or above it: steps of a sixteenth of a power of two bound it
+    step = F.floor(F.log2(F.col("c").cast("double")) * 16)
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k"), F.sum(F.octet_length("word")).alias("bytes")).orderBy(F.desc("step")).collect()
+    least, held, heavy = None, 0, 0
     for s in steps:
-        held += s["k"]
-        if held > MOST_FREQUENT:
+        held, heavy = held + s["k"], heavy + s["bytes"]
+        if held > MOST_FREQUENT or heavy > VOCABULARY_BYTES:
             break
         least = s["step"]
-    chosen = F.lit(False) if least is None else (F.floor(F.log2(F.col("c").cast("double")) * 16) >= least) & (F.octet_length("word") <= WORD_BYTES)
+    chosen = F.lit(False) if least is None else step >= least
     frequent = counts.where(chosen).select("word", "c").toArrow()
     found, times = frequent.column("word").to_pylist(), frequent.column("c").to_numpy()
     order = sorted(range(len(found)), key=lambda i: (-times[i], found[i]))
@@ -289,21 +296,19 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
     if not documents:
         return Model(0, 0, vocabulary, None, None), counts
     words_sent = spark.sparkContext.broadcast(vocabulary)
-    share = min(1.0, START_WINDOWS / max(1, n_tokens / WINDOW + documents / 2))
-    of_documents = min(1.0, 4 * share)
-    of_windows = share / of_documents
+    share = min(1.0, START_TOKENS / max(1, n_tokens))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = words_sent.value
         for b in batches:
-            drawn = [_drawn(_windows(v.encode(_words(t)), v.end), of_windows, 0) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(np.concatenate([np.empty((0, WINDOW), np.int32), *drawn])), pa.list_(pa.int32()))], names=["ids"])
-
-    got = _drawn_documents(training, of_documents, 0).select("text").mapInArrow(sample, "ids array<int>").toArrow()
-    windows = got.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int32).reshape(-1, WINDOW)
-    windows = windows[np.lexsort(windows.T[::-1])]
-    if not len(windows):
-        windows = np.full((1, WINDOW), vocabulary.end, dtype=np.int32)
+            drawn = [x for t in b.column(0).to_pylist() for x in _drawn(_pieces(v.encode(_words(t))), share / of_documents)]
+            yield pa.RecordBatch.from_arrays([pa.array(drawn, pa.list_(pa.int32()))], names=["ids"])
+
+    # only drawn documents need to be encoded; with few documents all are
+    of_documents = min(1.0, 8 * share) if documents >= 10_000 else 1.0
+    draw = F.pmod(F.xxhash64(F.lit(0), F.col("doc_id"), F.octet_length("text")), F.lit(1 << 24))
+    got = training.where(draw < int(of_documents * (1 << 24))).select("text").mapInArrow(sample, "ids array<int>").toArrow()
+    pieces = sorted((np.array(x, dtype=np.int32) for x in got.column(0).to_pylist()), key=lambda x: x.tobytes())
     near, weight = company(training, words_sent)
     leaves = Leaves(vocabulary, near, weight, lambda so_far: followers(training, words_sent, so_far))
     own = spark.createDataFrame([(bytearray(w),) for w in leaves.own_words] or [(bytearray(b"\x00 no word"),)], "word binary")
@@ -317,47 +322,60 @@ def learn(rows: DataFrame) -> tuple[Model, DataFrame]:
     leaf_counts = n.copy()
     np.add.at(leaf_counts, leaves.of_id[: len(leaves.own_words)], vocabulary.counts[: len(leaves.own_words)])
     leaf_counts[leaves.of_id[vocabulary.end]] += documents
-    targets = leaves.leaves(windows)
-    params, _ = gru.train(gru.new_params(leaves.inputs, leaf_counts), leaves.input_rows(windows, targets), targets)
+    params, _ = gru.train(gru.new_params(leaves.inputs, leaf_counts), leaves.described(pieces))
     params = refine(training, words_sent, leaves, params)
     return Model(n_tokens, n_distinct, vocabulary, leaves, params), counts
 
 
 def refine(training: DataFrame, words_sent, leaves: Leaves, params: gru.Params) -> gru.Params:
-    """One round over the corpus: each task trains a copy on the windows of its documents; the copies' mean, weighted by windows."""
+    """One round over the corpus: each task trains a copy on its documents; the copies' mean, weighted by tokens.
+
+    A task's change leaves it as a few arrays, which SUM_TASKS tasks for each place add up as they come."""
     names = sorted(params)
     start = np.concatenate([params[k].ravel() for k in names])
     spark = training.sparkSession
     sent = spark.sparkContext.broadcast((leaves, params))
+    vectors = pa.list_(pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         v, (own_leaves, p) = words_sent.value, sent.value
-        held, waiting, most, weight = [], 0, 4096, 0
+        held, waiting, weight = [], 0, 0
 
         def step(p):
-            windows = np.concatenate(held)
-            targets = own_leaves.leaves(windows)
-            return gru.train(p, own_leaves.input_rows(windows, targets), targets, rate=1e-3, epochs=1, lanes=64)[0]
+            return gru.train(p, own_leaves.described(held), rate=TRAIN_RATE, epochs=1, lanes=TRAIN_LANES)[0]
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                windows = _windows(v.encode(_words(t)), v.end)
-                held.append(windows)
-                weight += len(windows)
-                waiting += len(windows)
-                if waiting >= most:
-                    p, held, waiting = step(p), [], 0
+                pieces = _pieces(v.encode(_words(t)))
+                held += pieces
+                waiting += sum(map(len, pieces))
+                if waiting >= TRAIN_TOKENS:
+                    p, weight = step(p), weight + waiting
+                    held, waiting = [], 0
         if held:
-            p = step(p)
+            p, weight = step(p), weight + waiting
         if weight:
-            change = (np.concatenate([p[k].ravel() for k in names]) - start) * weight
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(change) + 1), pa.int32()), pa.array(np.append(change, weight).astype(np.float64))], names=["i", "x"])
+            change = np.append((np.concatenate([p[k].ravel() for k in names]) - start) * float(weight), weight)
+            parts = [change[at : at + SUM_PIECE] for at in range(0, len(change), SUM_PIECE)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([TaskContext.get().partitionId() % SUM_TASKS] * len(parts), pa.int32()), pa.array(parts, vectors)], names=["i", "task", "x"])
 
-    sums = training.select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-    if not sums:
-        return params
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, x in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                sums[i] = sums[i] + x.values.to_numpy() if i in sums else x.values.to_numpy().copy()
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()), pa.array(list(sums.values()), vectors)], names=["i", "task", "x"])
+
+    shape = "i int, task int, x array<double>"
+    got = training.select("text").mapInArrow(run, shape).repartition("i", "task").mapInArrow(add, shape).toArrow()
     total = np.zeros(len(start) + 1)
-    total[[r["i"] for r in sums]] = [r["x"] for r in sums]
+    for i, x in zip(got.column("i").to_pylist(), got.column("x"), strict=True):
+        total[i * SUM_PIECE : i * SUM_PIECE + len(x)] += x.values.to_numpy()
+    if not total[-1]:
+        return params
     mean = (start + total[:-1] / total[-1]).astype(np.float32)
     out, at = {}, 0
     for k in names:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernel.llm.common import broadcast_if_small, small_batches, stash, table
+from quernel.llm.common import broadcast_if_small, free_name, small_batches, stash, table, text_key
 from quernel.llm.components import connected_components
 from quernel.llm.similar_texts import similar_documents
 
@@ -160,10 +160,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their component by five-word similarity (`similar_texts`), all columns unchanged; rows with a null id stay."""
-    extra = similar_documents(docs, key, text).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct()
-    extra = stash(extra, "copies")
-    return docs.join(extra, docs[key] == extra["_copy"], "left_anti")
+    """One row of every component by five-word similarity (`similar_texts`), all columns unchanged.
+
+    The row with the smallest id stays (one without an id only if the component has none; of equal ids that with the smallest text digest; of rows
+    that repeat id and text any one). Rows are told apart by id and text, so an id may stand for several texts."""
+    rows = similar_documents(docs, key, text)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("tk"))
+    per_row = rows.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    per_row = stash(per_row, "row-keys")
+    winners = per_row.groupBy("root").agg(F.min(order).alias("w")).select("w.id", "w.tk")
+    same = per_row["doc_id"].eqNullSafe(F.col("id")) & (per_row["text_key"] == F.col("tk"))
+    several = per_row.where("n > 1").join(winners, same, "left_semi").select("doc_id", "text_key")
+    losers = per_row.join(winners, same, "left_anti").select("doc_id", "text_key")
+    several, losers = (stash(x, name) for x, name in ((several, "repeated-rows"), (losers, "copies")))
+    name = free_name(docs, "_text_key")
+    keyed = docs.withColumn(name, text_key(F.col(text)))
+    at = lambda other: keyed[key].eqNullSafe(other["doc_id"]) & (keyed[name] == other["text_key"])
+    gone = broadcast_if_small(stash(several.union(losers), "not-single"))
+    repeated = broadcast_if_small(several)
+    single = keyed.join(gone, at(gone), "left_anti")
+    return single.unionByName(keyed.join(repeated, at(repeated), "left_semi").dropDuplicates([key, name])).drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,93 +1,223 @@
-"""Near-copies by five-word similarity: every pair of documents whose shingle sets have a Jaccard similarity of `threshold` or more.
-
-Two such sets share at least ceil(threshold * n) of the n shingles of either, so by the pigeonhole they share one among the first
-n - ceil(threshold * n) + 1 of each, whatever order all shingles are put in: joining these prefixes finds every pair, and the sets of
-each candidate are compared whole. The shingles found in most prefixes come last in the order, which keeps common
-passages out of the prefixes of texts that merely quote them. Equal sets are one node.
-
-Words and shingles are those of decontamination. Defined results: null, empty and wordless texts have the empty set, equal to
-each other; a null doc_id takes part but names no component; repeated rows each give a row; an empty table gives no rows.
+"""Near-copies by five-word similarity: every pair of documents whose shingle sets have a Jaccard similarity of `threshold` or more is linked.
+
+1. Fingerprints of the sets within two bits of each other (`simhash_neardup.links`, Golay keys) propose links that large groups of close copies
+   need, a few for each text. Equal sets are one node throughout.
+2. Two sets of that similarity share at least ceil(2t / (1 + t) * n) shingles, n being the smaller set, and ceil(t * m) of the larger one's m, so,
+   whatever order all shingles are put in, they share one among the first n - ceil(2t / (1 + t) * n) + 1 of the smaller and the first
+   m - ceil(t * m) + 1 of the larger. The shingles found in most such prefixes come last in the order, which keeps common passages out of
+   the prefixes of texts that merely quote them. Buckets of one prefix shingle with at most BUCKET sets give their pairs.
+3. In a larger bucket all sets are compared with a few of them (pivots), round after round, while it holds more than one component. What is
+   still apart from the bucket's main component is then compared with every set of the bucket, so no link is lost and a group of
+   copies costs a few comparisons a text.
+
+A pair is first held against 512-bit parity sketches: sets that differ in d shingles have sketches that differ in at most d bits, so a pair whose
+sketches differ in more bits than the similarity allows is out. Pairs that pass are compared whole.
+
+Words are runs of letters and digits of the lower-cased text; fewer than five are one shingle. Shingles and sets are told apart by 64-bit
+hashes. Defined results: null, empty and wordless texts have the empty set, equal to each other; a null doc_id takes part but names no
+component; repeated rows each give a row; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.llm.common import broadcast_if_small, small_batches, stash
+from quernel.llm.common import broadcast_if_small, small_batches, split_join, stash, text_key
 from quernel.llm.components import connected_components
-from quernel.llm.decontamination import shingle_hashes
 
 THRESHOLD = 0.8
+SHINGLE = 5
 #: Prefixes a shingle may be in before it counts as a common one, and how many of the most common ones are set back (sent to the workers).
 FREQUENT = 20
 MOST_COMMON = 200_000
+#: Sets in a bucket up to which all its pairs are compared; rounds and pivots a round of larger ones.
+BUCKET = 24
+ROUNDS, PIVOTS = 3, 4
+SALTS = 8
+SKETCH = 512
+WORD = re.compile(r"[^\W_]+")
+
+
+def shingle_set(text: str) -> np.ndarray:
+    """The sorted distinct shingle hashes."""
+    words = WORD.findall(text.lower())
+    if not words:
+        return np.empty(0, np.uint64)
+    parts = map(" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False)) if len(words) >= SHINGLE else [" ".join(words)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(s) for s in parts), dtype=np.uint64, count=max(1, len(words) - SHINGLE + 1)))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """SimHash of a set of hashes as a signed 64-bit number."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        ones += np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def _prefix(n: Column, threshold: float) -> Column:
-    return (n - F.ceil(F.round(threshold * n, 9)) + 1).cast("int")
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """SKETCH bits: whether an odd number of hashes falls on each."""
+    odd = np.bincount((hashes >> np.uint64(64 - (SKETCH - 1).bit_length())).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, node, n, hs): the sorted distinct shingle hashes, their number and the hash of them all. Computed anew where used: the sets are larger than the texts."""
-    hs = docs.select(F.col(key).alias("doc_id"), F.array_sort(F.array_distinct(shingle_hashes(F.col(text)))).alias("hs"))
-    return hs.select("doc_id", F.xxhash64("hs").alias("node"), F.size("hs").alias("n"), "hs")
+    """(doc_id, text_key, node, n, fp, sketch, hs) per row: hs is the set, node its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        for b in batches:
+            sets = [shingle_set(t or "") for t in b.column(2).to_pylist()]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), seed=1) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([majority_bits(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], longs), pa.array([s.view(np.int64) for s in sets], longs)],
+                names=["doc_id", "text_key", "node", "n", "fp", "sketch", "hs"],
+            )
+
+    small_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)[key]
+    return docs.select(F.col(key).alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, text_key string, node bigint, n int, fp bigint, sketch array<bigint>, hs array<bigint>"
+    )
+
+
+def _reach(n: Column, share: float) -> Column:
+    """Length of the prefix of n shingles in which one of any share * n of them must be."""
+    return (n - F.ceil(F.round(share * n, 9)) + 1).cast("int")
 
 
-def _common(hashed: DataFrame, threshold: float, frequent: int) -> np.ndarray:
+def _common(rows: DataFrame, threshold: float, frequent: int) -> np.ndarray:
     """The most common shingles of the prefixes by hash alone, sorted: at most MOST_COMMON, each in more than `frequent` prefixes."""
-    first = hashed.where("n > 0").select(F.explode(F.slice("hs", F.lit(1), _prefix(F.col("n"), threshold))).alias("h"))
+    first = rows.where("n > 0").select(F.explode(F.slice("hs", F.lit(1), _reach(F.col("n"), threshold))).alias("h"))
     counted = first.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > frequent)
     return np.sort(counted.orderBy(F.desc("k"), "h").limit(MOST_COMMON).select("h").toArrow().column("h").to_numpy())
 
 
-def _prefixes(hashed: DataFrame, common: np.ndarray, threshold: float) -> DataFrame:
-    """(doc_id, node, n, first): the prefix of each set, common shingles last."""
-    sent = hashed.sparkSession.sparkContext.broadcast(common)
-    kind = dict(hashed.dtypes)["doc_id"]
+def _prefixes(rows: DataFrame, common: np.ndarray, threshold: float) -> DataFrame:
+    """(node, n, fp, sketch, first) per row: first is the prefix of the set, common shingles last."""
+    sent = rows.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = sent.value
         for b in batches:
             out = []
-            for hs, k in zip(b.column(3), b.column(4).to_pylist(), strict=True):
+            for hs, k in zip(b.column(4), b.column(5).to_pylist(), strict=True):
                 x = hs.values.to_numpy()
                 if len(late) and len(x):
                     there = late[np.minimum(np.searchsorted(late, x), len(late) - 1)] == x
                     x = np.concatenate([x[~there], x[there]])
                 out.append(x[:k] if len(x) else x)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "first"])
-
-    small_batches(hashed.sparkSession)
-    return hashed.withColumn("k", _prefix(F.col("n"), threshold)).mapInArrow(run, f"doc_id {kind}, node bigint, n int, first array<bigint>")
-
-
-def _candidates(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b), a < b, of sets (node, n, first) whose prefixes meet and whose sizes allow the similarity."""
-    buckets = sets.select(F.explode("first").alias("h"), F.struct("node", "n").alias("s")).groupBy("h").agg(F.collect_list("s").alias("all")).where(F.size("all") > 1).select("all")
-    pairs = buckets.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-    fits = (F.col("x.node") < F.col("y.node")) & (F.least("x.n", "y.n") >= F.round(threshold * F.greatest("x.n", "y.n"), 9))
-    return pairs.where(fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, component_id) per document row; a component is what a chain of similar pairs connects."""
-    hashed = _hashed(docs, key, text)
-    rows = stash(_prefixes(hashed, _common(hashed, threshold, frequent), threshold), "shingle-prefixes")
-    firsts = stash(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.any_value("n").alias("n"), F.any_value("first").alias("first")), "distinct-sets")
-    pairs = stash(_candidates(firsts, threshold), "similar-candidates")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = broadcast_if_small(stash(wanted, "candidate-sets"))
-    sets = hashed.select("node", "hs").join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("hs").alias("hs"))
-    sets = stash(sets, "whole-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hs").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hs").alias("y")), "b")
-    enough = F.size(F.array_intersect("x", "y")) * (1 + threshold) >= threshold * (F.size("x") + F.size("y")) - 1e-9
-    comps = connected_components(both.where(enough).select("a", "b"))
-    roots = comps.join(firsts.select(F.col("node").alias("own"), "first_id"), comps["node"] == F.col("own")).groupBy("root").agg(F.min("first_id").alias("linked_id"))
-    named = comps.join(roots, "root").select("node", "linked_id")
-    whole = stash(firsts.select("node", "first_id").join(named, "node", "left").select("node", F.coalesce("linked_id", "first_id").alias("component_id")), "named-sets")
-    return rows.select("doc_id", "node").join(broadcast_if_small(whole), "node").select("doc_id", "component_id")
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(out, pa.list_(pa.int64()))], names=["node", "n", "fp", "sketch", "first"])
+
+    return rows.select("node", "n", "fp", "sketch", "hs", _reach(F.col("n"), threshold).alias("k")).mapInArrow(run, "node bigint, n int, fp bigint, sketch array<bigint>, first array<bigint>")
+
+
+def _comparable(a: Column, b: Column, threshold: float) -> Column:
+    return F.least(a, b) >= F.round(threshold * F.greatest(a, b), 9)
+
+
+class _Verifier:
+    """Tells which proposed pairs (a, b) of nodes are similar enough."""
+
+    def __init__(self, nodes: DataFrame, rows: DataFrame, threshold: float):
+        self.nodes, self.rows, self.threshold = nodes.select("node", "n", "sketch"), rows, threshold
+
+    def similar(self, pairs: DataFrame, name: str) -> DataFrame:
+        """pairs: distinct, stashed or not; stashed result (a, b)."""
+        t = self.threshold
+        side = lambda df, c: df.select(*[F.col(x).alias(f"{x}_{c}") for x in df.columns])
+        held = pairs.join(side(self.nodes, "a"), F.col("a") == F.col("node_a")).join(side(self.nodes, "b"), F.col("b") == F.col("node_b"))
+        apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        near = stash(held.where(_comparable(F.col("n_a"), F.col("n_b"), t) & (apart <= (F.col("n_a") + F.col("n_b")) * (1 - t) / (1 + t) + 1e-6)).select("a", "b"), f"{name}-near")
+        wanted = broadcast_if_small(stash(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), f"{name}-wanted"))
+        sets = stash(self.rows.select("node", "hs").join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("hs").alias("hs")), f"{name}-sets")
+        both = near.join(sets.select(F.col("node").alias("a"), F.col("hs").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hs").alias("y")), "b")
+        enough = F.size(F.array_intersect("x", "y")) * (1 + t) >= t * (F.size("x") + F.size("y")) - 1e-9
+        return stash(both.where(enough).select("a", "b"), f"{name}-similar")
+
+
+def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs that fingerprints propose: sets of one fingerprint with the least of them, and the least ones of linked fingerprints."""
+    from quernel.llm.simhash_neardup import links
+
+    least = stash(nodes.groupBy("fp").agg(F.min("node").alias("least")), "set-prints")
+    same = nodes.join(least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b")).where("a <> b")
+    linked = links(least)
+    across = linked.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
+    return same.union(across.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
+
+
+def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
+    """(h, node, n, index): index tells whether the shingle is in the shorter prefix, which a smaller set needs."""
+    short = _reach(F.col("n"), 2 * threshold / (1 + threshold))
+    return nodes.select("node", "n", short.alias("short"), F.posexplode("first").alias("at", "h")).select("h", "node", "n", (F.col("at") < F.col("short")).alias("index"))
+
+
+def _valid(x: str, y: str, threshold: float) -> Column:
+    """Whether a bucket's pair may be similar: sizes allow it and the smaller set's prefix is the short one."""
+    c = lambda s, f: F.col(f"{s}.{f}")
+    smaller = F.when(c(x, "n") < c(y, "n"), c(x, "index")).when(c(x, "n") > c(y, "n"), c(y, "index")).otherwise(c(x, "index") | c(y, "index"))
+    return smaller & _comparable(c(x, "n"), c(y, "n"), threshold)
+
+
+def _bucket_pairs(cold: DataFrame, threshold: float) -> DataFrame:
+    """All valid pairs of buckets that hold few sets."""
+    buckets = cold.groupBy("h").agg(F.collect_list(F.struct("node", "n", "index")).alias("all")).where(F.size("all") > 1)
+    pairs = buckets.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where((F.col("x.node") < F.col("y.node")) & _valid("x", "y", threshold))
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _labelled(hot: DataFrame, links: DataFrame) -> DataFrame:
+    """hot (h, node, n, index) with the component of each node; stashed."""
+    comps = broadcast_if_small(stash(connected_components(links), "bucket-components"))
+    return stash(hot.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "hot-entries")
+
+
+def _pivot_pairs(labelled: DataFrame, round_: int, threshold: float, pivots: int) -> DataFrame:
+    """(a, b): every set of a bucket with several components, with each of its pivots in another component."""
+    rank = lambda k: F.xxhash64(F.lit(round_ * pivots + k), "node")
+    chosen = F.array(*[F.min_by(F.struct("node", "n", "comp"), rank(k)) for k in range(pivots)])
+    open_ = labelled.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), chosen.alias("pivots")).where("lo < hi").select("h", F.explode(F.array_distinct("pivots")).alias("p"))
+    met = labelled.join(broadcast_if_small(stash(open_, "pivots")), "h")
+    met = met.where((F.col("comp") != F.col("p.comp")) & _comparable(F.col("n"), F.col("p.n"), threshold))
+    return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+
+
+def _rest_pairs(labelled: DataFrame, threshold: float, salts: int) -> DataFrame:
+    """(a, b): in every bucket, what is not in its main component with every valid set of another component."""
+    per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
+    main = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", "main")
+    open_ = stash(labelled.join(broadcast_if_small(stash(main, "main-components")), "h"), "open-buckets")
+    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    x = open_.where("comp <> main").select("h", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.struct("node", "n", "index", "comp").alias("x"))
+    y = open_.select("h", salt.alias("salt"), F.struct("node", "n", "index", "comp", (F.col("comp") == F.col("main")).alias("main")).alias("y"))
+    apart = (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.node") < F.col("y.node")))
+    return x.join(y, ["h", "salt"]).where(apart & _valid("x", "y", threshold)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, frequent: int = FREQUENT, bucket: int = BUCKET, rounds: int = ROUNDS, pivots: int = PIVOTS) -> DataFrame:
+    """(doc_id, text_key, node, root) per document row, stashed; the rows of one root are what a chain of similar pairs connects."""
+    rows = stash(_hashed(docs, key, text), "shingle-sets")
+    made = _prefixes(rows, _common(rows, threshold, frequent), threshold)
+    nodes = stash(made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), *[F.any_value(c).alias(c) for c in ("n", "fp", "sketch", "first")]), "distinct-sets")
+    verifier = _Verifier(nodes, rows, threshold)
+    entries = _entries(nodes, threshold)
+    hot = broadcast_if_small(stash(entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > bucket).select("h"), "hot-buckets"))
+    cold_pairs = _bucket_pairs(entries.join(hot, "h", "left_anti"), threshold)
+    links = verifier.similar(_fingerprint_pairs(nodes).union(cold_pairs).distinct(), "proposed")
+    crowded = stash(entries.join(hot, "h", "left_semi"), "crowded")
+    if not crowded.isEmpty():
+        for k in range(rounds):
+            links = links.union(verifier.similar(_pivot_pairs(_labelled(crowded, links), k, threshold, pivots), f"round-{k}"))
+        links = links.union(verifier.similar(_rest_pairs(_labelled(crowded, links), threshold, SALTS), "rest"))
+    comps = connected_components(links)
+    whole = nodes.select("node", "rows").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return stash(split_join(rows.select("doc_id", "text_key", "node"), stash(whole, "named-sets"), ["node"], n="rows"), "similar-documents")

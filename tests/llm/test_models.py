@@ -262,6 +262,22 @@ def test_code_lengths_equal_a_plain_model():
     assert np.allclose(both[0], trees.code_lengths(np.frombuffer(b"abra", np.uint8), np.array([0]))[0]) and not both[1].any()
 
 
+def test_every_language_is_learned(spark):
+    """More languages than any table of a fixed size would hold."""
+    texts = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}" * 30 + " x", f"l{i:03d}") for i in range(300)]
+    df = spark.createDataFrame([(4 * i + k, t, lang) for i, t, lang in texts for k in range(4)], "doc_id long, text string, lang string")
+    trees = language_id.learn(df)
+    assert len(trees.languages) == 300
+    got = language_id.predict(df, trees).join(df, "doc_id").where("lang = lang_pred").count()
+    assert got >= 0.95 * 1200
+
+
+def test_least_counts(spark):
+    rows = [("a", b"xy", 5), ("a", b"xz", 5), ("a", b"yz", 9), ("a", b"q", 50), ("b", b"pq", 1), ("c", b"s", 1)]
+    got = lambda k: {r["lang"]: r["least"] for r in language_id.least_counts(spark.createDataFrame(rows, "lang string, gram binary, n long"), k).collect()}
+    assert got(1) == {"a": 9, "b": 1, "c": 0} and got(2) == {"a": 9, "b": 1, "c": 0} and got(3) == {"a": 5, "b": 1, "c": 0}
+
+
 def test_gradients():
     r = np.random.RandomState(1)
     p = {k: v.astype(np.float64) for k, v in gru.new_params(40, np.ones(gru.LEAVES)).items()}
@@ -275,6 +291,26 @@ def test_gradients():
         assert g[k][i] == pytest.approx((gru._gradients(up, ids, leaves, h)[2] - gru._gradients(down, ids, leaves, h)[2]) / 2e-3, rel=0.02, abs=2e-5)
 
 
+def test_gradients_with_ends_and_beginnings():
+    """Places without a token count for nothing, and nothing passes from one text to the next."""
+    r = np.random.RandomState(3)
+    p = {k: v.astype(np.float64) for k, v in gru.new_params(40, np.ones(gru.LEAVES)).items()}
+    ids, leaves, h = r.randint(0, 40, (6, 2)), r.randint(0, gru.LEAVES, (6, 2)), r.standard_normal((2, gru.HIDDEN)) * 0.1
+    fresh, valid = np.zeros((6, 2), bool), np.ones((6, 2), bool)
+    fresh[3, 0] = fresh[0, 1] = True
+    valid[4:, 1] = False
+    g, _, loss = gru._gradients(p, ids, leaves, h, fresh, valid)
+    for k in p:
+        i = (int(ids[1, 0]), 2) if k == "E" else (int(leaves[0, 0]) // gru.MEMBERS, 3, 1) if k == "Wm" else tuple(r.randint(0, s) for s in p[k].shape)
+        up, down = ({a: b.copy() for a, b in p.items()} for _ in range(2))
+        up[k][i] += 1e-3
+        down[k][i] -= 1e-3
+        assert g[k][i] == pytest.approx((gru._gradients(up, ids, leaves, h, fresh, valid)[2] - gru._gradients(down, ids, leaves, h, fresh, valid)[2]) / 2e-3, rel=0.02, abs=2e-5)
+    parts = [(slice(0, 3), 0, h[:1]), (slice(3, 6), 0, 0 * h[:1]), (slice(0, 4), 1, 0 * h[:1])]
+    alone = [gru._gradients(p, ids[s, j : j + 1], leaves[s, j : j + 1], state)[2] * (s.stop - s.start) for s, j, state in parts]
+    assert loss * 10 == pytest.approx(sum(alone))
+
+
 def test_large_weights_are_made_safe():
     p = gru.new_params(10, np.ones(gru.LEAVES))
     same = gru.safe(p)
@@ -372,7 +408,7 @@ def test_pipeline(spark, tmp_path):
 
 def test_every_training_document_is_learned(spark, monkeypatch):
     """No document is drawn: groupings and the corpus round read them all, whatever the size of the start."""
-    monkeypatch.setattr(lm_scoring, "START_WINDOWS", 1)
+    monkeypatch.setattr(lm_scoring, "START_TOKENS", 1)
     rows, df = corpus(spark, 120)
     training = lm_scoring._texts(df, "doc_id", "text").where("NOT held_out")
     texts = [bytes(r["text"]).lower().split() for r in training.collect()]
@@ -393,9 +429,8 @@ def test_every_training_document_is_learned(spark, monkeypatch):
     leaves = lm_scoring.Leaves(v, near, weight, lambda so_far: lm_scoring.followers(training, sent, so_far))
     p = gru.new_params(leaves.inputs, np.ones(gru.LEAVES))
     got = lm_scoring.refine(training.coalesce(1), sent, leaves, p)
-    windows = np.concatenate([lm_scoring._windows(v.encode(t), v.end) for t in texts])
-    assert len(windows) <= 4096
-    targets = leaves.leaves(windows)
-    all_of_them = gru.train(p, leaves.input_rows(windows, targets), targets, rate=1e-3, epochs=1, lanes=64)[0]
+    pieces = [x for t in texts for x in lm_scoring._pieces(v.encode(t))]
+    assert sum(map(len, pieces)) == sum(len(t) + 1 for t in texts)
+    all_of_them = gru.train(p, leaves.described(pieces), rate=lm_scoring.TRAIN_RATE, epochs=1, lanes=lm_scoring.TRAIN_LANES)[0]
     assert all(np.allclose(got[k], x, atol=1e-3) for k, x in all_of_them.items())
     assert not all(np.allclose(p[k], x, atol=1e-3) for k, x in all_of_them.items())

@@ -126,11 +126,11 @@ def test_links_equal_brute_force(spark, pairs):
 
 
 def test_keep_one(spark):
-    t = prose(random.Random(5), 200)
-    rows = [(5, t, "en", "a"), (3, t, "en", "b"), (9, prose(random.Random(6), 200), "en", "c"), (None, t, "en", "d"), (3, t, "en", "b")]
-    df = spark.createDataFrame(rows, SCHEMA)
+    t, u, v = (prose(random.Random(k), 200) for k in (5, 6, 7))
+    rows = [(5, t, "en", "a"), (3, t, "en", "b"), (9, u, "en", "c"), (None, t, "en", "d"), (3, t, "en", "b"), (5, v, "en", "e"), (None, prose(random.Random(8), 90), "en", "f"), (20, None, "en", "g"), (21, " ", None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("node", F.lit("clash")).withColumn("n", F.lit(0))
     kept = simhash_neardup.keep_one(df)
-    assert kept.columns == df.columns and sorted((x["doc_id"] or 0) for x in kept.collect()) == [0, 3, 3, 9]
+    assert kept.columns == df.columns and sorted(((x["doc_id"] or 0, x["text"] or "") for x in kept.collect())) == sorted([(3, t), (9, u), (5, v), (0, rows[6][1]), (20, "")])
     assert simhash_neardup.near_duplicates(df.limit(0)).count() == 0 and simhash_neardup.keep_one(df.limit(0)).count() == 0
 
 
@@ -185,7 +185,8 @@ def test_many_copies_of_one_text(spark):
     assert {x["component_id"] for x in copies} == {0} and len(copies) == 3000
 
 
-def test_keep_one_finds_every_similar_pair(spark):
+@pytest.mark.parametrize("bucket,rounds", [(24, 3), (2, 1), (1, 0)])
+def test_keep_one_finds_every_similar_pair(spark, bucket, rounds):
     from quernel.llm import similar_texts
 
     r = random.Random(8)
@@ -220,5 +221,12 @@ def test_keep_one_finds_every_similar_pair(spark):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     assert far > 10
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    assert {x["doc_id"]: x["component_id"] for x in similar_texts.similar_documents(df).collect()} == {i: root(i) for i in range(len(texts))}
-    assert sorted(x["doc_id"] for x in simhash_neardup.keep_one(df).collect()) == sorted({root(i) for i in range(len(texts))})
+    by_root = collections.defaultdict(set)
+    for x in similar_texts.similar_documents(df, bucket=bucket, rounds=rounds, pivots=2).collect():
+        by_root[x["root"]].add(x["doc_id"])
+    want = collections.defaultdict(set)
+    for i in range(len(texts)):
+        want[root(i)].add(i)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, want.values()))
+    if rounds == 3:
+        assert sorted(x["doc_id"] for x in simhash_neardup.keep_one(df).collect()) == sorted(want)
