@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernel.llm.common import broadcast_if_small, table
-from quernel.llm.licence_texts import TEXTS, notices
+from quernel.llm.licence_texts import DIGESTS, TEXTS, notices
 
 #: A line that states a copyright and nothing else (RE2 and Java syntax).
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(copyright *(\(c\)|©|[0-9<\[])|\(c\) *[0-9]|©|all rights reserved\.?[ \t]*$)[^\n]*$"
@@ -38,10 +38,13 @@ def canonical(text: Column) -> Column:
 
 
 def catalogue(spark: SparkSession, texts=None, lines=None) -> DataFrame:
-    """(unit, digest, license_id) of (licence, text) lists, one row per unit and digest."""
+    """(unit, digest, license_id) of (licence, text) lists, one row per unit and digest; with this package's texts also those known by digest."""
     rows = [("text", i, t) for i, t in (TEXTS if texts is None else texts)] + [("line", i, t) for i, t in (notices() if lines is None else lines)]
     known = spark.createDataFrame(rows, "unit string, license_id string, text string")
-    return known.groupBy("unit", F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    known = known.select("unit", F.sha2(canonical(F.col("text")), 256).alias("digest"), "license_id")
+    if texts is None:
+        known = known.union(spark.createDataFrame([("text", d, i) for i, d in DIGESTS], "unit string, digest string, license_id string"))
+    return known.groupBy("unit", "digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -76,8 +79,10 @@ def _sql_canonical(text: str) -> str:
 
 def oracle() -> str:
     rows = ",\n".join(f"({_quoted(u)}, {_quoted(i)}, {_quoted(t)})" for u, pairs in (("text", TEXTS), ("line", notices())) for i, t in pairs)
+    digests = ", ".join(f"('{i}', '{d}')" for i, d in DIGESTS)
     return f"""
-WITH known AS (SELECT unit, sha256({_sql_canonical("t")}) AS digest, min(i) AS license_id FROM (VALUES {rows}) AS v(unit, i, t) GROUP BY ALL),
+WITH listed AS (SELECT unit, sha256({_sql_canonical("t")}) AS digest, i FROM (VALUES {rows}) AS v(unit, i, t) UNION ALL SELECT 'text', d, i FROM (VALUES {digests}) AS w(i, d)),
+known AS (SELECT unit, digest, min(i) AS license_id FROM listed GROUP BY ALL),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
 units AS (SELECT doc_id, 'text' AS unit, 0 AS line_no, text AS body FROM documents WHERE text IS NOT NULL
     UNION ALL SELECT doc_id, 'line', line_no, body FROM lines WHERE regexp_matches(lower(body), '{CUES}'))

@@ -1,4 +1,5 @@
 import collections
+import math
 import random
 import struct
 import zlib
@@ -44,6 +45,86 @@ def test_counts_equal_brute_force(spark, texts):
         assert (row["n_words"], row["word_chars"], row["n_symbols"], row["n_dup_lines"], row["n_repeat_words"]) == brute_counts(texts[row["doc_id"]]), texts[row["doc_id"]]
 
 
+def brute_verdicts(rows):
+    """doc_id -> kept, with exact quantiles: the value at rank ceil(q n)."""
+    measured, groups, languages = {}, collections.defaultdict(list), collections.defaultdict(list)
+    for i, t, lang, source in rows:
+        n, chars, symbols, dup, rep = brute_counts(t)
+        lines = len([x for x in (t or "").split("\n") if words(x)])
+        letters = sum(c.isalpha() for c in t or "")
+        m = {"n": n, "chars": chars, "lines": lines, "failed": n < 50 or 100 * rep > 50 * n, "counts": {"symbols": (symbols, n, 1), "dup": (dup, lines, 1), "rep": (rep, n, 6)}}
+        m["core_ratios"] = {"len": chars / n if n else None, "letters": letters / chars if chars else None}
+        measured[i] = m
+        if not m["failed"]:
+            groups[lang, source].append(m)
+            languages[lang].append(m)
+    q = lambda xs, p: sorted(xs)[math.ceil(p * len(xs)) - 1]
+
+    def fence(members, ratio):
+        xs = [m["core_ratios"][ratio] for m in members]
+        q1, q3 = q(xs, 0.25), q(xs, 0.75)
+        return (q1 - 4 * (q3 - q1), q3 + 4 * (q3 - q1)) if q3 > q1 else None
+
+    def fences(lang, source, ratio):
+        own = groups[lang, source]
+        return (fence(own, ratio) if len(own) >= 200 else None) or fence(languages[lang], ratio) or (-math.inf, math.inf)
+
+    within = lambda m, lang, source, ratio: (f := fences(lang, source, ratio)) and f[0] <= m["core_ratios"][ratio] and (ratio == "letters" or m["core_ratios"][ratio] <= f[1])
+    core_g, core_l = collections.defaultdict(list), collections.defaultdict(list)
+    for i, t, lang, source in rows:
+        m = measured[i]
+        if not m["failed"] and within(m, lang, source, "len") and within(m, lang, source, "letters"):
+            core_g[lang, source].append(m)
+            core_l[lang].append(m)
+    out, limits = {}, {}
+    for i, t, lang, source in rows:
+        m = measured[i]
+        out[i] = not m["failed"] and within(m, lang, source, "len")
+        members = core_g[lang, source] if len(core_g[lang, source]) >= 200 else core_l[lang] if core_g[lang, source] else []
+        for name, (count, size, clump) in m["counts"].items():
+            if members:
+                limit = q([x["counts"][name][0] / x["counts"][name][1] for x in members], 0.995)
+                limits[lang, source, name] = limit
+                if count > limit * size + 3 * math.sqrt(clump * (limit * size + clump)):
+                    out[i] = False
+    return out, limits
+
+
+def test_verdicts_equal_brute_force(spark):
+    r = random.Random(31)
+    rows = []
+
+    def add(n, make, lang, source):
+        rows.extend((len(rows) + k, make(), lang, source) for k in range(n))
+
+    plain = lambda: prose(r, r.randint(45, 200))
+    marked = lambda: " ".join(w + ("$" if r.random() < 0.1 else "") for w in plain().split())
+    lined = lambda: "\n".join([prose(r, 9) for _ in range(8)] + ["menu of the page"] * r.randint(1, 3))
+    add(230, plain, "en", "calm"), add(230, marked, "en", "shop"), add(40, lined, "en", "forum"), add(60, plain, "de", "a"), add(60, plain, "de", None), add(30, plain, None, None)
+    for lang, source in (("en", "calm"), ("en", "shop"), ("en", "forum"), ("de", "a"), (None, None), ("xx", "only")):
+        add(3, lambda: " ".join(w + "%" * r.randint(1, 4) for w in plain().split()), lang, source)
+        add(3, lambda: " ".join(c for w in plain().split() for c in (w, "|")), lang, source)
+        add(2, marked, lang, source), add(2, lined, lang, source)
+        add(2, lambda: " ".join("x" * r.randint(15, 25) for _ in range(80)), lang, source)
+        add(1, lambda: "a b c d e f g " * 40, lang, source)
+    rows += [(5000, None, "en", "calm"), (5001, "", "en", "shop"), (5002, prose(r, 40_000), "en", "calm")]
+    got = {x["doc_id"]: x for x in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want, limits = brute_verdicts(rows)
+    assert {i: x["kept"] for i, x in got.items()} == want and 20 < sum(not k for k in want.values()) < 120
+    assert limits["en", "calm", "symbols"] < limits["en", "shop", "symbols"]
+    marks = [i for i, t, lang, source in rows if lang == "en" and t and 0 < t.count("$") / len(t.split()) < 0.2]
+    assert any(got[i]["source"] == "shop" and got[i]["kept"] for i in marks) and any(got[i]["source"] == "calm" and not got[i]["kept"] and not got[i]["base_failed"] for i in marks)
+
+
+def test_repeats_of_very_long_texts(spark):
+    """Sorting by hash and place agrees with plain counting where hashes collide in the bits that are left and where texts are long."""
+    r = random.Random(32)
+    long = [prose(r, 120_000), " ".join(str(r.randrange(50)) for _ in range(30_000)), " ".join(map(str, range(150_000)))]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(long)], SCHEMA)
+    for row in quality_rules.counts(df).collect():
+        assert row["n_repeat_words"] == brute_counts(long[row["doc_id"]])[4]
+
+
 def test_verdicts(spark):
     r = random.Random(2)
     good = [(i, prose(r, 300), "en" if i % 3 else None, "s1" if i % 2 else None) for i in range(300)]
@@ -60,10 +141,11 @@ def test_verdicts(spark):
 
 
 def test_repeated_and_null_ids(spark):
-    t = prose(random.Random(3), 120)
-    df = spark.createDataFrame([(1, t, "en", "s"), (1, t, "en", "s"), (None, t, "en", "s"), (2, "no", "en", "s")], SCHEMA)
-    assert quality_rules.judge(df).count() == 4
-    assert sorted((x["doc_id"] or 0) for x in quality_rules.filter_documents(df).collect()) == [0, 1, 1]
+    t, u = prose(random.Random(3), 120), prose(random.Random(4), 90)
+    rows = [(1, t, "en", "s"), (1, t, "en", "s"), (None, t, "en", "s"), (2, "no", "en", "s"), (1, "short", "en", "s"), (None, "short too", "en", "s"), (2, u, "en", "s"), (3, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert quality_rules.judge(df).count() == len(rows)
+    assert sorted(((x["doc_id"] or 0), x["text"]) for x in quality_rules.filter_documents(df).collect()) == sorted([(0, t), (1, t), (1, t), (2, u)])
 
 
 def brute_fingerprint(t):

@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,20 @@ def test_licences(spark):
     assert license_scan.scan(spark.createDataFrame([(1, "YOU MAY, do as you like")], "doc_id long, text string"), own).first()["license_id"] == "House"
 
 
+PUBLISHED = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+@pytest.mark.skipif(not Path("/usr/share/common-licenses/MPL-2.0").exists(), reason="no published licence texts on this machine")
+def test_published_texts_are_known(spark):
+    texts = {n: Path(f"/usr/share/common-licenses/{n}").read_text() for n in PUBLISHED}
+    rows = [(n, t) for n, t in texts.items()] + [(f"{n} again", re.sub(r"\s+(?!copyright|\(c\))", "   ", t.upper()) if n == "MPL-2.0" else t.replace("\n", "\r\n").replace('"', "'")) for n, t in texts.items()]
+    rows += [("cut", texts["GPL-3"][: texts["GPL-3"].index("END OF TERMS")]), ("changed", texts["MPL-2.0"].replace("shall", "will", 1))]
+    got = {x["doc_id"]: x["license_id"] for x in license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).where("unit = 'text'").collect()}
+    assert got == {**PUBLISHED, **{f"{n} again": i for n, i in PUBLISHED.items()}, "cut": "GPL-3.0"}
+
+
 def test_forest_on_unseen_findings(spark):
     forest = secret_scan.train(spark, list(secret_scan._default_findings()))
     got = secret_scan.labelled_features(spark, secret_scan.labelled_findings(3000, seed=5)).select("label", F.array("features").alias("f")).select("label", F.expr(f"transform(f, x -> {secret_scan.score_sql(forest, 'x')})[0]").alias("s")).collect()
