@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; a runner writes it as Parquet and reads it back as the next stage's
 docs. All but the last return the columns of documents. ORACLE_SQL is None: the adaptive thresholds (quantile sketches)
 and the tokenizer have no SQL form; tests/llm checks the stages against brute force.
+
+Defined results: the filtering stages judge rows by what they hold, not by id, so a null id is kept or dropped like any other and rows that
+share an id are judged each for itself. Null, empty and very short texts go with the quality rules. Of the rows of a group of
+near-copies one stays: that with the smallest id, a row without an id only if no row of the group has one, and of rows that repeat id
+and text any one. Extra columns pass through to the packing stage, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
