@@ -387,7 +387,9 @@ def test_pipeline(spark, tmp_path):
     item = prose(25)
     rows = [(i, prose(150), "en", "s", 1) for i in range(30)]
     rows += [(100, rows[0][1], "en", "t", 1), (101, f"{prose(80)} {item} {prose(80)}", "en", "s", 1), (102, "short", "en", "s", 1), (103, prose(100) + " token = 1eb9c654e721b4f812088970e66a6345cee33dd6", "en", "s", 1), (104, None, None, None, None)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    odd = prose(90)
+    rows += [(0, prose(120), "en", "u", 1), (None, odd, "en", "u", 1), (None, f"{odd} {item}", "en", "u", 1), (None, "short", "en", "u", 1), (5, "short", "en", "u", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("clash") for c in ("node", "text_key", "_text_key", "_secrets", "kept")}).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = table(spark, str(tmp_path), "documents")
     columns, seen = docs.columns, []
@@ -399,7 +401,8 @@ def test_pipeline(spark, tmp_path):
         seen.append({x["doc_id"] for x in docs.collect()})
         if name == "secret_scan":
             assert {x["doc_id"] for x in docs.where(F.contains("text", F.lit(secret_scan.MARK))).collect()} == {103}
-    clean = set(range(30)) | {103}
+    clean = set(range(30)) | {103, None}
+    assert docs.where("doc_id = 0 AND start = 0").count() == 2 and docs.where("doc_id IS NULL AND start = 0").count() == 1 and docs.where("doc_id = 5 AND start = 0").count() == 1
     assert seen == [clean | {100, 101}, clean | {101}, clean, clean, clean]
     assert {x["doc_id"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()} == clean
     assert set(queries.QUERIES) == {*(f"op{n}_{k}" for n, k in enumerate(["license_scan", "html_extraction", "warc", "secret_scan", "decontamination", "quality_rules", "simhash_neardup", "language_id", "packing", "lm_scoring"], 1)), "pipeline"}
