@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -64,6 +65,12 @@ def release_stashes(spark: SparkSession) -> None:
     _delete(spark, stash_folder(spark))
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now. It does so once the driver's garbage collector finds them unreferenced, which may take long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when df (stashed, so cheap to count) has at most `rows` rows; else Spark shuffles."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -74,16 +81,18 @@ def split_join(rows: DataFrame, groups: DataFrame, on: list[str], n: str = "n",
 
     Small tables are broadcast. Else the groups that hold more than 1 / share of all rows, so at most `share` of them, are broadcast
     and only the rest is shuffled: no key's rows meet in one task."""
-    same = lambda a, b: reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in on])
+    mine = {c: f"_of_group_{i}" for i, c in enumerate(on)}
+    groups = groups.withColumnsRenamed(mine)
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(m)) for c, m in mine.items()])
 
     def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        return left.join(right, same(left, right), how).drop(*[right[c] for c in on])
+        return left.join(right, same, how).drop(*mine.values())
 
     if groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return joined(rows, F.broadcast(groups.drop(n)), how)
     many = F.col(n) > F.lit(max(1000, groups.agg(F.sum(n)).first()[0] // share))
     hot = groups.where(many).drop(n)
-    rest = rows.join(F.broadcast(hot.select(*on)), same(rows, hot), "left_anti")
+    rest = rows.join(F.broadcast(hot.select(*mine.values())), same, "left_anti")
     return joined(rows, F.broadcast(hot), "inner").unionByName(joined(rest, groups.where(~many).drop(n), how))
 
 
