@@ -20,6 +20,7 @@ component; repeated rows each give a row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.llm.common import broadcast_if_small, small_batches, split_join, stash, text_key
+from quernel.llm.common import broadcast_if_small, drop_stash, small_batches, split_join, stash, sweep, text_key
 from quernel.llm.components import connected_components
 
 THRESHOLD = 0.8
@@ -69,55 +70,69 @@ def parity_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, text_key, node, n, fp, sketch, hs) per row: hs is the set, node its hash."""
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longs = pa.list_(pa.int64())
-        for b in batches:
-            sets = [shingle_set(t or "") for t in b.column(2).to_pylist()]
-            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), seed=1) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), pa.array([majority_bits(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], longs), pa.array([s.view(np.int64) for s in sets], longs)],
-                names=["doc_id", "text_key", "node", "n", "fp", "sketch", "hs"],
-            )
 
-    small_batches(docs.sparkSession)
-    kind = dict(docs.dtypes)[key]
-    return docs.select(F.col(key).alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, text_key string, node bigint, n int, fp bigint, sketch array<bigint>, hs array<bigint>"
-    )
+def _node(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), seed=1) - (1 << 63)
 
 
-def _reach(n: Column, share: float) -> Column:
+def _reach(n: int, share: float) -> int:
     """Length of the prefix of n shingles in which one of any share * n of them must be."""
-    return (n - F.ceil(F.round(share * n, 9)) + 1).cast("int")
+    return n - math.ceil(round(share * n, 9)) + 1 if n else 0
+
+
+def _rows(texts: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_key, node, low) per row: node is the hash of the set, low the prefix of the set in the order of the hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t) for t in b.column(2).to_pylist()]
+            low = [s[: _reach(len(s), threshold)].view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_node(s) for s in sets], pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "text_key", "node", "low"])
 
+    return texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, text_key string, node bigint, low array<bigint>")
 
-def _common(rows: DataFrame, threshold: float, frequent: int) -> np.ndarray:
+
+def _common(rows: DataFrame, frequent: int) -> np.ndarray:
     """The most common shingles of the prefixes by hash alone, sorted: at most MOST_COMMON, each in more than `frequent` prefixes."""
-    first = rows.where("n > 0").select(F.explode(F.slice("hs", F.lit(1), _reach(F.col("n"), threshold))).alias("h"))
-    counted = first.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > frequent)
+    counted = rows.select(F.explode("low").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > frequent)
     return np.sort(counted.orderBy(F.desc("k"), "h").limit(MOST_COMMON).select("h").toArrow().column("h").to_numpy())
 
 
-def _prefixes(rows: DataFrame, common: np.ndarray, threshold: float) -> DataFrame:
-    """(node, n, fp, sketch, first) per row: first is the prefix of the set, common shingles last."""
-    sent = rows.sparkSession.sparkContext.broadcast(common)
+def _nodes(texts: DataFrame, common: np.ndarray, threshold: float) -> DataFrame:
+    """(node, rows, text_key, n, fp, sketch, first) per distinct set: text_key of one of its texts, first the prefix of the set, common shingles last."""
+    sent = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = sent.value
+        late, longs = sent.value, pa.list_(pa.int64())
         for b in batches:
-            out = []
-            for hs, k in zip(b.column(4), b.column(5).to_pylist(), strict=True):
-                x = hs.values.to_numpy()
+            sets, first = [shingle_set(t) for t in b.column(1).to_pylist()], []
+            for s in sets:
+                x = s.view(np.int64)
                 if len(late) and len(x):
                     there = late[np.minimum(np.searchsorted(late, x), len(late) - 1)] == x
                     x = np.concatenate([x[~there], x[there]])
-                out.append(x[:k] if len(x) else x)
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(out, pa.list_(pa.int64()))], names=["node", "n", "fp", "sketch", "first"])
+                first.append(x[: _reach(len(x), threshold)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([majority_bits(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], longs), pa.array(first, longs)],
+                names=["text_key", "node", "n", "fp", "sketch", "first"],
+            )
+
+    made = texts.select("text_key", "text").mapInArrow(run, "text_key string, node bigint, n int, fp bigint, sketch array<bigint>, first array<bigint>")
+    return made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("text_key").alias("text_key"), *[F.any_value(c).alias(c) for c in ("n", "fp", "sketch", "first")])
+
+
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, hs) of the wanted (node, text_key): each text is read and hashed once more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t).view(np.int64) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["node", "hs"])
 
-    return rows.select("node", "n", "fp", "sketch", "hs", _reach(F.col("n"), threshold).alias("k")).mapInArrow(run, "node bigint, n int, fp bigint, sketch array<bigint>, first array<bigint>")
+    one = texts.join(broadcast_if_small(wanted), "text_key").select("node", "text").dropDuplicates(["node"])
+    return one.mapInArrow(run, "node bigint, hs array<bigint>")
 
 
 def _comparable(a: Column, b: Column, threshold: float) -> Column:
@@ -127,21 +142,27 @@ def _comparable(a: Column, b: Column, threshold: float) -> Column:
 class _Verifier:
     """Tells which proposed pairs (a, b) of nodes are similar enough."""
 
-    def __init__(self, nodes: DataFrame, rows: DataFrame, threshold: float):
-        self.nodes, self.rows, self.threshold = nodes.select("node", "n", "sketch"), rows, threshold
+    def __init__(self, nodes: DataFrame, texts: DataFrame, threshold: float):
+        self.nodes, self.texts, self.threshold, self.spark = nodes, texts, threshold, nodes.sparkSession
 
     def similar(self, pairs: DataFrame, name: str) -> DataFrame:
-        """pairs: distinct, stashed or not; stashed result (a, b)."""
-        t = self.threshold
+        """pairs: distinct. (a, b) of those that are, stashed."""
+        t, nodes = self.threshold, self.nodes.select("node", "n", "sketch")
         side = lambda df, c: df.select(*[F.col(x).alias(f"{x}_{c}") for x in df.columns])
-        held = pairs.join(side(self.nodes, "a"), F.col("a") == F.col("node_a")).join(side(self.nodes, "b"), F.col("b") == F.col("node_b"))
+        held = pairs.join(side(nodes, "a"), F.col("a") == F.col("node_a")).join(side(nodes, "b"), F.col("b") == F.col("node_b"))
         apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         near = stash(held.where(_comparable(F.col("n_a"), F.col("n_b"), t) & (apart <= (F.col("n_a") + F.col("n_b")) * (1 - t) / (1 + t) + 1e-6)).select("a", "b"), f"{name}-near")
-        wanted = broadcast_if_small(stash(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), f"{name}-wanted"))
-        sets = stash(self.rows.select("node", "hs").join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("hs").alias("hs")), f"{name}-sets")
+        sweep(self.spark)
+        ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+        wanted = stash(self.nodes.select("node", "text_key").join(ends, "node", "left_semi"), f"{name}-wanted")
+        sets = stash(_sets(self.texts, wanted), f"{name}-sets")
+        sweep(self.spark)
         both = near.join(sets.select(F.col("node").alias("a"), F.col("hs").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hs").alias("y")), "b")
         enough = F.size(F.array_intersect("x", "y")) * (1 + t) >= t * (F.size("x") + F.size("y")) - 1e-9
-        return stash(both.where(enough).select("a", "b"), f"{name}-similar")
+        found = stash(both.where(enough).select("a", "b"), f"{name}-similar")
+        drop_stash(sets)
+        sweep(self.spark)
+        return found
 
 
 def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
@@ -157,7 +178,7 @@ def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
 
 def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
     """(h, node, n, index): index tells whether the shingle is in the shorter prefix, which a smaller set needs."""
-    short = _reach(F.col("n"), 2 * threshold / (1 + threshold))
+    short = (F.col("n") - F.ceil(F.round(F.lit(2 * threshold / (1 + threshold)) * F.col("n"), 9)) + 1).cast("int")
     return nodes.select("node", "n", short.alias("short"), F.posexplode("first").alias("at", "h")).select("h", "node", "n", (F.col("at") < F.col("short")).alias("index"))
 
 
@@ -205,19 +226,28 @@ def _rest_pairs(labelled: DataFrame, threshold: float, salts: int) -> DataFrame:
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, frequent: int = FREQUENT, bucket: int = BUCKET, rounds: int = ROUNDS, pivots: int = PIVOTS) -> DataFrame:
     """(doc_id, text_key, node, root) per document row, stashed; the rows of one root are what a chain of similar pairs connects."""
-    rows = stash(_hashed(docs, key, text), "shingle-sets")
-    made = _prefixes(rows, _common(rows, threshold, frequent), threshold)
-    nodes = stash(made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), *[F.any_value(c).alias(c) for c in ("n", "fp", "sketch", "first")]), "distinct-sets")
-    verifier = _Verifier(nodes, rows, threshold)
+    spark = docs.sparkSession
+    small_batches(spark)
+    texts = _texts(docs, key, text)
+    rows = stash(_rows(texts, threshold), "shingle-rows")
+    nodes = stash(_nodes(texts, _common(rows, frequent), threshold), "distinct-sets")
+    sweep(spark)
+    verifier = _Verifier(nodes, texts, threshold)
     entries = _entries(nodes, threshold)
     hot = broadcast_if_small(stash(entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > bucket).select("h"), "hot-buckets"))
+    sweep(spark)
     cold_pairs = _bucket_pairs(entries.join(hot, "h", "left_anti"), threshold)
     links = verifier.similar(_fingerprint_pairs(nodes).union(cold_pairs).distinct(), "proposed")
     crowded = stash(entries.join(hot, "h", "left_semi"), "crowded")
     if not crowded.isEmpty():
+        labelled = _labelled(crowded, links)
         for k in range(rounds):
-            links = links.union(verifier.similar(_pivot_pairs(_labelled(crowded, links), k, threshold, pivots), f"round-{k}"))
-        links = links.union(verifier.similar(_rest_pairs(_labelled(crowded, links), threshold, SALTS), "rest"))
+            found = verifier.similar(_pivot_pairs(labelled, k, threshold, pivots), f"round-{k}")
+            if found.isEmpty():
+                break
+            links = links.union(found)
+            labelled = _labelled(crowded, links)
+        links = links.union(verifier.similar(_rest_pairs(labelled, threshold, SALTS), "rest"))
     comps = connected_components(links)
     whole = nodes.select("node", "rows").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return stash(split_join(rows.select("doc_id", "text_key", "node"), stash(whole, "named-sets"), ["node"], n="rows"), "similar-documents")
