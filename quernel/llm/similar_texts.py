@@ -6,9 +6,13 @@
    whatever order all shingles are put in, they share one among the first n - ceil(2t / (1 + t) * n) + 1 of the smaller and the first
    m - ceil(t * m) + 1 of the larger. The shingles found in most such prefixes come last in the order, which keeps common passages out of
    the prefixes of texts that merely quote them. Buckets of one prefix shingle with at most BUCKET sets give their pairs.
-3. In a larger bucket all sets are compared with a few of them (pivots), round after round, while it holds more than one component. What is
-   still apart from the bucket's main component is then compared with every set of the bucket, so no link is lost and a group of
-   copies costs a few comparisons a text.
+3. The sets of larger buckets are put in order anew, now all their shingles by the number of these sets that hold them, the rarest first. Of
+   two similar sets the first shared shingle has at least t / (1 + t) * (n + m) shingles of either set from it on, so what a copy has of its own
+   fills its prefix as soon as it is too much for a link to the text it was made from, and the group's common shingles don't bring it
+   together with the rest. Small buckets of this order give their pairs.
+4. In a bucket that is still larger all sets are compared with a few of them (pivots, first the one with the least of its own), round after
+   round, while it holds more than one component. What is still apart from the bucket's main component is then compared with every set of
+   the bucket that the sizes and places allow, so no link is lost and a group of copies costs a few comparisons a text.
 
 A pair is first held against 512-bit parity sketches: sets that differ in d shingles have sketches that differ in at most d bits, so a pair whose
 sketches differ in more bits than the similarity allows is out. Pairs that pass are compared whole.
@@ -176,35 +180,61 @@ def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
     return same.union(across.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
 
 
-def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
-    """(h, node, n, index): index tells whether the shingle is in the shorter prefix, which a smaller set needs."""
-    short = (F.col("n") - F.ceil(F.round(F.lit(2 * threshold / (1 + threshold)) * F.col("n"), 9)) + 1).cast("int")
-    return nodes.select("node", "n", short.alias("short"), F.posexplode("first").alias("at", "h")).select("h", "node", "n", (F.col("at") < F.col("short")).alias("index"))
+def _entries(nodes: DataFrame) -> DataFrame:
+    """(h, node, n, at): at tells how many shingles of the set come before h in the order."""
+    return nodes.select("node", "n", F.posexplode("first").alias("at", "h")).select("h", "node", "n", "at")
+
+
+def _fits(n: Column, at: Column, other: Column, threshold: float) -> Column:
+    """Whether a set of n shingles holds enough from place `at` on for a similar one of size `other`, if none before is shared."""
+    return (n - at) * (1 + threshold) >= threshold * (n + other) - 1e-6
+
+
+def _rare_first(sets: DataFrame, threshold: float) -> DataFrame:
+    """`_entries` of (node, hs) in the order of how many of these sets hold a shingle, without entries that can have no partner; stashed."""
+    each = sets.select("node", F.size("hs").alias("n"), F.explode("hs").alias("h"))
+    held = stash(each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "shared-shingles")
+    ordered = each.join(held, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("k", "h"))).alias("shared"))
+    # shingles that no other set holds come first and make no entries
+    own = F.col("n") - F.size("shared")
+    reach = (F.col("n") - F.ceil(F.round(F.lit(threshold) * F.col("n"), 9)) + 1 - own).cast("int")
+    first = ordered.where(reach > 0).select("node", "n", own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), reach)).alias("i", "s"))
+    entries = stash(first.select(F.col("s.h").alias("h"), "node", "n", (F.col("own") + F.col("i")).alias("at")), "rare-first")
+    sweep(sets.sparkSession)
+    least = stash(entries.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1").select("h", "least"), "least-sizes")
+    met = F.greatest(F.col("least").cast("double"), threshold * F.col("n"))
+    return stash(entries.join(broadcast_if_small(least), "h").where(_fits(F.col("n"), F.col("at"), met, threshold)).drop("least"), "rare-entries")
 
 
 def _valid(x: str, y: str, threshold: float) -> Column:
-    """Whether a bucket's pair may be similar: sizes allow it and the smaller set's prefix is the short one."""
+    """Whether a bucket's pair may be similar: sizes allow it, and places if the bucket's shingle is the first that both hold."""
     c = lambda s, f: F.col(f"{s}.{f}")
-    smaller = F.when(c(x, "n") < c(y, "n"), c(x, "index")).when(c(x, "n") > c(y, "n"), c(y, "index")).otherwise(c(x, "index") | c(y, "index"))
-    return smaller & _comparable(c(x, "n"), c(y, "n"), threshold)
+    fits = _fits(c(x, "n"), c(x, "at"), c(y, "n"), threshold) & _fits(c(y, "n"), c(y, "at"), c(x, "n"), threshold)
+    return fits & _comparable(c(x, "n"), c(y, "n"), threshold)
 
 
 def _bucket_pairs(cold: DataFrame, threshold: float) -> DataFrame:
     """All valid pairs of buckets that hold few sets."""
-    buckets = cold.groupBy("h").agg(F.collect_list(F.struct("node", "n", "index")).alias("all")).where(F.size("all") > 1)
+    buckets = cold.groupBy("h").agg(F.collect_list(F.struct("node", "n", "at")).alias("all")).where(F.size("all") > 1)
     pairs = buckets.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where((F.col("x.node") < F.col("y.node")) & _valid("x", "y", threshold))
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _large(entries: DataFrame, bucket: int, name: str) -> DataFrame:
+    """(h) of the buckets with more than `bucket` sets."""
+    return broadcast_if_small(stash(entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > bucket).select("h"), name))
+
+
 def _labelled(hot: DataFrame, links: DataFrame) -> DataFrame:
-    """hot (h, node, n, index) with the component of each node; stashed."""
+    """hot (h, node, n, at) with the component of each node; stashed."""
     comps = broadcast_if_small(stash(connected_components(links), "bucket-components"))
     return stash(hot.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "hot-entries")
 
 
 def _pivot_pairs(labelled: DataFrame, round_: int, threshold: float, pivots: int) -> DataFrame:
     """(a, b): every set of a bucket with several components, with each of its pivots in another component."""
-    rank = lambda k: F.xxhash64(F.lit(round_ * pivots + k), "node")
+    drawn = lambda k: F.xxhash64(F.lit(round_ * pivots + k), "node")
+    rank = lambda k: drawn(k) if round_ or k else F.struct(F.col("at") / F.col("n"), drawn(k))  # noqa: E731  first the set with the least of its own
     chosen = F.array(*[F.min_by(F.struct("node", "n", "comp"), rank(k)) for k in range(pivots)])
     open_ = labelled.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), chosen.alias("pivots")).where("lo < hi").select("h", F.explode(F.array_distinct("pivots")).alias("p"))
     met = labelled.join(broadcast_if_small(stash(open_, "pivots")), "h")
@@ -218,8 +248,8 @@ def _rest_pairs(labelled: DataFrame, threshold: float, salts: int) -> DataFrame:
     main = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("h", "main")
     open_ = stash(labelled.join(broadcast_if_small(stash(main, "main-components")), "h"), "open-buckets")
     salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
-    x = open_.where("comp <> main").select("h", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.struct("node", "n", "index", "comp").alias("x"))
-    y = open_.select("h", salt.alias("salt"), F.struct("node", "n", "index", "comp", (F.col("comp") == F.col("main")).alias("main")).alias("y"))
+    x = open_.where("comp <> main").select("h", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.struct("node", "n", "at", "comp").alias("x"))
+    y = open_.select("h", salt.alias("salt"), F.struct("node", "n", "at", "comp", (F.col("comp") == F.col("main")).alias("main")).alias("y"))
     apart = (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.node") < F.col("y.node")))
     return x.join(y, ["h", "salt"]).where(apart & _valid("x", "y", threshold)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
@@ -233,13 +263,19 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     nodes = stash(_nodes(texts, _common(rows, frequent), threshold), "distinct-sets")
     sweep(spark)
     verifier = _Verifier(nodes, texts, threshold)
-    entries = _entries(nodes, threshold)
-    hot = broadcast_if_small(stash(entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > bucket).select("h"), "hot-buckets"))
+    entries = _entries(nodes)
+    hot = _large(entries, bucket, "hot-buckets")
     sweep(spark)
     cold_pairs = _bucket_pairs(entries.join(hot, "h", "left_anti"), threshold)
     links = verifier.similar(_fingerprint_pairs(nodes).union(cold_pairs).distinct(), "proposed")
-    crowded = stash(entries.join(hot, "h", "left_semi"), "crowded")
-    if not crowded.isEmpty():
+    members = stash(entries.join(hot, "h", "left_semi").select("node").distinct(), "crowd")
+    if not members.isEmpty():
+        sets = stash(_sets(texts, stash(nodes.select("node", "text_key").join(members, "node", "left_semi"), "crowd-texts")), "crowd-sets")
+        entries = _rare_first(sets, threshold)
+        drop_stash(sets)
+        hot = _large(entries, bucket, "rare-hot-buckets")
+        links = links.union(verifier.similar(_bucket_pairs(entries.join(hot, "h", "left_anti"), threshold), "rare"))
+        crowded = stash(entries.join(hot, "h", "left_semi"), "crowded")
         labelled = _labelled(crowded, links)
         for k in range(rounds):
             found = verifier.similar(_pivot_pairs(labelled, k, threshold, pivots), f"round-{k}")

@@ -312,3 +312,42 @@ def test_keep_one_finds_every_similar_pair(spark, bucket, rounds):
     assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, want.values()))
     if rounds == 3:
         assert sorted(x["doc_id"] for x in simhash_neardup.keep_one(df).collect()) == sorted(want)
+
+
+def test_edited_copies_do_not_make_all_pairs(spark, monkeypatch):
+    from quernel.llm import similar_texts
+
+    r = random.Random(4)
+    base, texts = [f"w{i}" for i in range(120)], []
+    for i in range(150):
+        copy = list(base)
+        for at in r.sample(range(0, 120, 5), i % 10):
+            copy[at] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    sets = [set(similar_texts.shingle_set(t).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    want = collections.defaultdict(set)
+    for i in range(len(texts)):
+        want[root(i)].add(i)
+    compared, similar = {}, similar_texts._Verifier.similar
+
+    def counted(self, pairs, name):
+        compared[name] = pairs.count()
+        return similar(self, pairs, name)
+
+    monkeypatch.setattr(similar_texts._Verifier, "similar", counted)
+    by_root = collections.defaultdict(set)
+    for x in similar_texts.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        by_root[x["root"]].add(x["doc_id"])
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, want.values())) and len(want) > 50
+    assert compared["rest"] <= len(texts)  # of some 6 000 pairs of texts apart from the main component with any other
