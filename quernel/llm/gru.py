@@ -17,6 +17,8 @@ LEAVES = CLASSES * MEMBERS
 SPAN = 32
 #: Largest logit in scoring; exp(60) is far within float32.
 SAFE_LOGIT = 60.0
+#: Occurrences of an input up to which its sum is made side by side with those of others.
+FEW = 16
 
 Params = dict[str, np.ndarray]
 
@@ -33,13 +35,22 @@ def new_params(inputs: int, leaf_counts: np.ndarray, seed: int = 5) -> Params:
     }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+def _softmax_error(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
+    """x: (choices, rows) logits, overwritten by the loss's derivative; at: each row's target. The derivative and the summed log-probability.
+
+    A row is a column here, so that maxima and sums run over whole vectors."""
+    rows = np.arange(x.shape[1])
+    x -= x.max(0)
+    picked = float(x[at, rows].sum())
+    np.exp(x, out=x)
+    total = x.sum(0)
+    x /= total
+    x[at, rows] -= 1
+    return x, picked - float(np.log(total).sum())
 
 
 def _by_class(leaves: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    of = leaves // MEMBERS
+    of = (leaves // MEMBERS).astype(np.uint8)
     order = np.argsort(of, kind="stable")
     cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
     return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(CLASSES) if cuts[k + 1] > cuts[k]]
@@ -47,7 +58,8 @@ def _by_class(leaves: np.ndarray) -> list[tuple[int, np.ndarray]]:
 
 def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at one place. Logits are at most SAFE_LOGIT (see `safe`), so their exponentials don't overflow."""
-    return x[np.arange(len(x)), at] - np.log(np.exp(x) @ np.ones(x.shape[1], x.dtype))
+    picked = x[np.arange(len(x)), at]
+    return picked - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
 def safe(p: Params) -> Params:
@@ -64,7 +76,7 @@ def leaf_log_probs(p: Params, states: np.ndarray, leaves: np.ndarray) -> np.ndar
     """Natural log-probability of each leaf given its state, p being safe."""
     out = _picked(states @ p["Wc"] + p["bc"], leaves // MEMBERS)
     for k, rows in _by_class(leaves):
-        out[rows] += _picked(states[rows] @ p["Wm"][k] + p["bm"][k], leaves[rows] % MEMBERS)
+        out[rows] += _picked(states.take(rows, axis=0) @ p["Wm"][k] + p["bm"][k], leaves[rows] % MEMBERS)
     return out
 
 
@@ -72,10 +84,22 @@ def _summed_rows(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """(n, width): the sum of the values of each row number."""
     out = np.zeros((n, values.shape[1]), values.dtype)
     if len(rows):
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16) if n <= 1 << 16 else rows, kind="stable")  # sixteen bits are sorted by radix
         found = rows[order]
         starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
-        out[found[starts]] = np.add.reduceat(values[order], starts, axis=0)
+        sizes = np.diff(np.append(starts, len(found)))
+        by_size = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[by_size], sizes[by_size]
+        names, many = found[starts], int((sizes > FEW).sum())
+        for i in range(many):
+            out[names[i]] = np.add.reduce(values.take(order[starts[i] : starts[i] + sizes[i]], axis=0), axis=0)
+        # the others' first values at once, then their second ones, and so on
+        starts, sizes, names = starts[many:], sizes[many:], names[many:]
+        sums = np.zeros((len(names), values.shape[1]), values.dtype)
+        for k in range(int(sizes[0]) if len(sizes) else 0):
+            live = int(np.searchsorted(-sizes, -k, side="left"))
+            sums[:live] += values.take(order[starts[:live] + k], axis=0)
+        out[names] = sums
     return out
 
 
@@ -85,7 +109,7 @@ def _gradients(p: Params, ids: np.ndarray, leaves: np.ndarray, h: np.ndarray, fr
     steps, lanes = ids.shape
     H, kind = HIDDEN, p["U"].dtype
     table = p["E"] @ p["W"] + p["b"]
-    x = table[ids]
+    x = table.take(ids, axis=0)
     before, z, r, c, part, states = (np.empty((steps, lanes, H), kind) for _ in range(6))
     half, one = kind.type(0.5), kind.type(1)
     begins = fresh.any(1) if fresh is not None else np.zeros(steps, bool)
@@ -113,23 +137,17 @@ def _gradients(p: Params, ids: np.ndarray, leaves: np.ndarray, h: np.ndarray, fr
         flat, target = flat[there], target[there]
     n = len(target)
     g: Params = {}
-    top = _log_softmax(flat @ p["Wc"] + p["bc"])
-    at = np.arange(n), target // MEMBERS
-    loss = -float(top[at].sum())
-    d = np.exp(top)
-    d[at] -= 1
-    g["Wc"], g["bc"] = flat.T @ d, d.sum(0)
-    ds = d @ p["Wc"].T
+    d, log_p = _softmax_error(p["Wc"].T @ flat.T + p["bc"][:, None], target // MEMBERS)
+    loss = -log_p
+    g["Wc"], g["bc"] = flat.T @ d.T, d.sum(1)
+    ds = d.T @ p["Wc"].T
     g["Wm"], g["bm"] = np.zeros_like(p["Wm"]), np.zeros_like(p["bm"])
     for k, rows in _by_class(target):
-        own = flat[rows]
-        low = _log_softmax(own @ p["Wm"][k] + p["bm"][k])
-        at = np.arange(len(rows)), target[rows] % MEMBERS
-        loss -= float(low[at].sum())
-        e = np.exp(low)
-        e[at] -= 1
-        g["Wm"][k], g["bm"][k] = own.T @ e, e.sum(0)
-        ds[rows] += e @ p["Wm"][k].T
+        own = flat.take(rows, axis=0)
+        e, log_p = _softmax_error(p["Wm"][k].T @ own.T + p["bm"][k][:, None], target[rows] % MEMBERS)
+        loss -= log_p
+        g["Wm"][k], g["bm"][k] = own.T @ e.T, e.sum(1)
+        ds[rows] += e.T @ p["Wm"][k].T
     if there is not None:
         whole = np.zeros((steps * lanes, H), kind)
         whole[there] = ds
@@ -244,7 +262,7 @@ class Scorer:
         for ids, leaves, first, there in spans(documents, lanes, window):
             steps, live = ids.shape
             h = h[:live]
-            x = self.table[ids]
+            x = self.table.take(ids, axis=0)
             states = np.empty((steps, live, H), np.float32)
             some = first.any(1)
             for t in range(steps):

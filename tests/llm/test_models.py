@@ -311,6 +311,20 @@ def test_gradients_with_ends_and_beginnings():
     assert loss * 10 == pytest.approx(sum(alone))
 
 
+def test_sums_and_errors_equal_plain_ones():
+    r = np.random.RandomState(12)
+    for n, kinds in ((0, 5), (1, 5), (900, 40), (3000, 2305)):
+        rows, values = np.minimum(r.zipf(1.4, n), kinds) - 1, r.standard_normal((n, 7))
+        want = np.zeros((kinds, 7))
+        np.add.at(want, rows, values)
+        assert np.allclose(gru._summed_rows(rows.astype(np.int32), values, kinds), want)
+    logits, at = r.standard_normal((16, 50)) * 30, r.randint(0, 16, 50)
+    logs = logits - logits.max(0) - np.log(np.exp(logits - logits.max(0)).sum(0))
+    d, total = gru._softmax_error(logits.copy(), at)
+    assert total == pytest.approx(logs[at, np.arange(50)].sum())
+    assert np.allclose(d, np.exp(logs) - (np.arange(16)[:, None] == at))
+
+
 def test_large_weights_are_made_safe():
     p = gru.new_params(10, np.ones(gru.LEAVES))
     same = gru.safe(p)
